@@ -28,8 +28,6 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     current = materialize(start.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     nodes = materialize(nodes, "nodes")
     for _ in range(max_rounds):
-        if not current.take(1):
-            break
         # large star: link each neighbour greater than n to the least of n's neighbourhood
         low = _minima(current)
         both = current.select(F.col("a").alias("n"), F.col("b").alias("m")).unionByName(current.select(F.col("b").alias("n"), F.col("a").alias("m")))
