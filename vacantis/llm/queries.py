@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import load, materialize
-from . import boilerplate, canonical, encoding, name_variants, near_duplicates, residue, survivorship
+from . import boilerplate, canonical, encoding, languages, leakage, mixing, name_variants, near_duplicates, residue, survivorship
 
 FIELDS_OF_SET = ["title", "employer_name", "location"]
 TEXT_FIELDS = ["title", "description", "employer_name"]
@@ -101,6 +101,61 @@ def p7_unmatched(spark: SparkSession, root: str) -> DataFrame:
     return _mapped(spark, root).where("entry_id = ''").groupBy("field", "value").agg(F.count("*").alias("rows"), F.max("score").alias("best_score"))
 
 
+def _leaks(spark: SparkSession, root: str) -> DataFrame:
+    return leakage.leaks(load(spark, root, "documents"), "doc_id", "text", load(spark, root, "eval_items"), "item_id", "text")
+
+
+def p8_found(spark: SparkSession, root: str) -> DataFrame:
+    return _leaks(spark, root).select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"))
+
+
+def p8_items(spark: SparkSession, root: str) -> DataFrame:
+    """Every item, with the documents that hold it and the largest share of its runs in one of them."""
+    return leakage.leaked_items(_leaks(spark, root), load(spark, root, "eval_items"), "item_id").withColumnRenamed("item", "item_id")
+
+
+REPORT = "source string, target_share double, documents long, size long, budget long, capacity long, passes int, reached long, reached_share double, falls_short boolean"
+
+
+def _counted(spark: SparkSession, root: str) -> DataFrame:
+    return mixing.counted_once(load(spark, root, "documents"), "doc_id", "source", "text")
+
+
+def _report(spark: SparkSession, root: str) -> DataFrame:
+    reports, _ = mixing.plan(_counted(spark, root), load(spark, root, "mix_targets"))
+    columns = [c.split(" ")[0] for c in REPORT.split(", ")]
+    return spark.createDataFrame([tuple(r[c] for c in columns) for r in reports], REPORT)
+
+
+def p9_found(spark: SparkSession, root: str) -> DataFrame:
+    return _report(spark, root).where("falls_short").select("source")
+
+
+def p9_shares(spark: SparkSession, root: str) -> DataFrame:
+    return _report(spark, root)
+
+
+def p9_mix(spark: SparkSession, root: str) -> DataFrame:
+    counted = _counted(spark, root)
+    reports, draws = mixing.plan(counted, load(spark, root, "mix_targets"))
+    return mixing.mix(counted, reports, draws).withColumnRenamed("doc", "doc_id")
+
+
+def _segments(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    docs = load(spark, root, "documents")
+    model = languages.fit(docs, "text", "lang", load(spark, root, "lang_samples"), "text", "lang")
+    return docs, languages.segments(docs, "doc_id", "text", model)
+
+
+def p10_found(spark: SparkSession, root: str) -> DataFrame:
+    docs, found = _segments(spark, root)
+    return languages.wrong_labels(docs, "doc_id", "lang", found).withColumnRenamed("doc", "doc_id")
+
+
+def p10_segments(spark: SparkSession, root: str) -> DataFrame:
+    return _segments(spark, root)[1].withColumnRenamed("doc", "doc_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = {k: v for k, v in globals().items() if k.startswith("p") and k[1:2].isdigit() and callable(v)}
     return dict(sorted(own.items(), key=lambda x: (int(x[0][1:].split("_")[0]), x[0])))
