@@ -31,7 +31,7 @@ MOST_ENTRIES = 200_000
 #: Cosine of n-grams from which a word of the list is looked at, and cosine or edit similarity from which it counts.
 RETRIEVE = 0.25
 WORD_FLOOR = 0.7
-ACCEPT = 0.5
+ACCEPT = 0.52
 MARGIN = 0.08
 
 # fixed values: everyday short forms in the names of trades and places

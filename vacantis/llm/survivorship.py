@@ -157,8 +157,8 @@ def survivors(observed: DataFrame) -> DataFrame:
 def observations(df: DataFrame, row: str, groups: DataFrame, fields: list[str], ts: str, bad: DataFrame) -> DataFrame:
     """(group, field, row, value, ts): the usable values of every set."""
     per = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in fields])
-    rows = df.select(F.col(row).alias("row"), F.col(ts).alias("ts"), *fields).join(groups, "row")
-    long = rows.select("group", "row", "ts", F.explode(per).alias("x")).select("group", "row", "ts", "x.field", "x.value").where("value is not null")
+    rows = df.select(F.col(row).alias("row"), F.col(ts).alias("ts"), per.alias("cells")).join(groups, "row")
+    long = rows.select("group", "row", "ts", F.explode("cells").alias("x")).select("group", "row", "ts", "x.field", "x.value").where("value is not null")
     return long.join(bad, ["field", "value"], "left_anti").select("group", "field", "row", "value", "ts")
 
 
