@@ -25,7 +25,7 @@ from . import encoding, residue
 #: Steps of precedence that are followed: a before b before c makes a before c.
 HOPS = 2
 # fixed values: short forms that end a firm's name as a whole word
-WHOLE_WORDS = "ltd pvt llp inc co corp assoc assocs collab archs arch intr plng dsgn engg".split()
+WHOLE_WORDS = "ltd pvt llp inc co corp assoc assocs collab archs intr plng dsgn engg".split()
 
 
 def id_key(value: Column) -> Column:
