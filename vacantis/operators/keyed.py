@@ -119,3 +119,34 @@ def top_counts(df: DataFrame, value: Column, seq: str, most: int) -> DataFrame:
     counted = df.groupBy(named.alias("value")).agg(F.count("*").alias("n"), F.min(seq).alias("first"))
     top = counted.orderBy(F.desc("n"), "first").limit(most)
     return top.withColumn("place", F.row_number().over(Window.orderBy(F.desc("n"), "first"))).select("value", "n", "place")
+
+
+def first_provider(hits: DataFrame, query: str, rank: str) -> DataFrame:
+    """Of each query only the hits of the first provider that has any."""
+    best = hits.groupBy(query).agg(F.min(rank).alias("__best"))
+    return hits.join(best, query).where(F.col(rank) == F.col("__best")).drop("__best")
+
+
+def match_in_turn(stored: DataFrame, incoming: DataFrame, ident: str, seq: str, keys: list[str], prefer: Column) -> DataFrame:
+    """Match incoming rows to stored ones by the first key, else by the next, and say what becomes of every row.
+
+    Of several stored rows with a key the preferred ones win, then the lesser ``ident``. Returns (ident, seq, action):
+    'update' for a stored row and its incoming one, 'insert' for an incoming row without a match, 'close' for a further
+    preferred stored row of the last key of a matched one, 'keep' for the rest. Null and empty keys match nothing.
+    """
+    old = stored.select(F.col(ident).alias("ident"), F.struct(F.when(F.coalesce(prefer, F.lit(False)), 0).otherwise(1).alias("late"), F.col(ident).alias("ident")).alias("rank"), *keys)
+    found = incoming.select(F.col(seq).alias("seq"), *keys)
+    for n, k in enumerate(keys):
+        held = old.where(F.coalesce(F.col(k), F.lit("")) != "").groupBy(k).agg(F.min("rank").alias("best")).select(F.col(k), F.col("best.ident").alias(f"__m{n}"))
+        found = found.join(held, k, "left")
+    found = found.withColumn("ident", F.coalesce(*[F.col(f"__m{n}") for n in range(len(keys))])).select("ident", "seq", F.col(keys[-1]).alias("key"))
+    one = found.where("ident is not null").groupBy("ident").agg(F.min("seq").alias("seq"), F.min("key").alias("key"))
+    closed = old.where("rank.late = 0").select("ident", F.col(keys[-1]).alias("key")).where("key is not null and key <> ''").join(one.select("key").distinct(), "key", "left_semi").join(one.select("ident"), "ident", "left_anti")
+    kept = old.select("ident").join(one.select("ident"), "ident", "left_anti").join(closed.select("ident"), "ident", "left_anti")
+    none = F.lit(None).cast(dict(found.dtypes)["seq"])
+    return (
+        one.select("ident", "seq", F.lit("update").alias("action"))
+        .unionByName(found.where("ident is null").select("ident", "seq", F.lit("insert").alias("action")))
+        .unionByName(closed.select("ident", none.alias("seq"), F.lit("close").alias("action")))
+        .unionByName(kept.select("ident", none.alias("seq"), F.lit("keep").alias("action")))
+    )

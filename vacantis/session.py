@@ -30,6 +30,7 @@ def build_session(app: str = "vacantis", cores: str = "*", shuffle_partitions: i
 
 
 def load(spark: SparkSession, root: str, table: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{root}/{table}.parquet")
 
 

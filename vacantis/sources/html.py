@@ -233,3 +233,51 @@ def logos(facts: DataFrame, key: str) -> DataFrame:
     best = scored.where(F.lower(F.concat_ws(" ", "src", "alt")).rlike("logo|brand")).groupBy(key).agg(F.max_by("src", F.struct("score", F.expr("-pos"))).alias("logo"))
     plain = facts.select(key, F.get("icons", F.lit(0)).alias("icon"))
     return plain.join(best, key, "left").select(key, F.regexp_replace(F.coalesce("logo", "icon", F.lit("")), r"(?i)/cdn-cgi/image/[^/]+/", "/").alias("logo"))
+
+
+# fixed values: words of links that lead to vacancies
+JOB_HINTS = ("job", "jobs", "career", "careers", "opening", "openings", "vacancy", "vacancies", "position", "positions", "opportunity", "opportunities", "recruit")
+
+
+def job_links(facts: DataFrame, key: str, roles: str, blocked: tuple[str, ...] = (), most: int = 30) -> DataFrame:
+    """(key, pos, url, text): links whose own words name a role, or that hint at jobs beside words of a role; the first of each address, at most so many of a page."""
+    from ..functions import urls
+    from ..operators.keyed import cap, first_wins
+
+    a = links(facts, key).where(~F.lower("href").rlike(r"^(?:javascript|mailto|tel):") & (F.col("href") != "")).withColumn("url", urls.canonical_url(F.col("href")))
+    context = F.lower(F.concat_ws(" ", "text", "near", "url"))
+    fits = F.lower("text").rlike(roles) | (context.rlike("|".join(JOB_HINTS)) & F.lower("near").rlike(roles))
+    kept = a.where(fits & (F.col("url") != "") & (urls.blocked_reason(F.col("url"), blocked) == "")).select(key, "pos", "url", "text")
+    return cap(first_wins(kept, [key, "url"], [F.col("pos")]), [key], [F.col("pos")], most)
+
+
+def board_links(facts: DataFrame, key: str) -> DataFrame:
+    """(key, provider, board): boards of applicant-tracking systems that a page links or redirects to, each once."""
+    from ..functions import urls
+
+    refresh = F.regexp_extract(F.coalesce(F.col("metas")["refresh"], F.lit("")), r"(?i)url=['\"]?([^'\"]+)", 1)
+    found = facts.select(key, F.explode(F.concat(F.transform("anchors", lambda a: a["href"]), F.array(refresh))).alias("url")).withColumn("provider", urls.ats_provider(F.col("url")))
+    return found.where("provider <> ''").select(key, "provider", urls.ats_board_root(F.col("url")).alias("board")).distinct()
+
+
+def apply_route(facts: DataFrame, url: str, open_terms: tuple[str, ...] = ("apply", "send your", "we are hiring", "vacancy", "open position")) -> DataFrame:
+    """(url, route, method, email): the first link to apply, else the page's form, else the best address, where the page is open for applications."""
+    from ..functions import contacts, urls
+
+    is_apply = lambda a: ~F.lower(a["href"]).startswith("mailto:") & (F.lower(a["text"]).rlike("apply|submit application|send cv|send resume") | (F.lower(a["href"]).contains("apply") & F.lower(a["near"]).contains("apply")))
+    first = urls.canonical_url(F.get(F.filter("anchors", is_apply), F.lit(0))["href"])
+    mails = F.transform(F.filter("anchors", lambda a: F.lower(a["href"]).startswith("mailto:")), lambda a: F.regexp_replace(a["href"], r"(?i)^mailto:|\?.*$", ""))
+    email = contacts.best_email(F.concat_ws(" ", F.array_join(mails, " "), "all_text"))
+    is_open = F.lower("all_text").rlike("|".join(open_terms))
+    route = F.when(first != "", first).when(F.col("has_form") & is_open, urls.canonical_url(F.col(url))).when((email != "") & is_open, F.concat(F.lit("mailto:"), email)).otherwise("")
+    method = F.when(first != "", "Apply Link").when(F.col("has_form") & is_open, "Public Form").when((email != "") & is_open, "Email").otherwise("")
+    return facts.select(url, route.alias("route"), method.alias("method"), email.alias("email"))
+
+
+def posted_date(facts: DataFrame) -> Column:
+    """When a page was posted: its metadata, a time beside the word, or the text."""
+    from ..functions import dates
+
+    metas = [dates.parse_date(facts["metas"][k]) for k in ("article:published_time", "date", "dateposted")]
+    near = F.filter(facts["times"], lambda t: F.lower(t["near"]).rlike("posted|published"))
+    return F.coalesce(*metas, dates.parse_date(F.get(near, F.lit(0))["value"]), dates.labelled_date(facts["all_text"], dates.POSTED_LABELS))
