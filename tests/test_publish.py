@@ -55,7 +55,7 @@ PAGE = """<html><head><meta http-equiv="refresh" content="0; url=https://jobs.le
 
 def test_links_boards_routes_dates(spark):
     f = html.page_facts(spark.createDataFrame([("https://acme.example/", PAGE)], "url string, body string"), "url", "body")
-    assert [r["url"] for r in html.job_links(f, "url", "architect|planner").collect()] == ["https://acme.example/jobs/architect"]
+    assert [r["link"] for r in html.job_links(f, "url", "architect|planner").collect()] == ["https://acme.example/jobs/architect"]
     assert {(r["provider"], r["board"]) for r in html.board_links(f, "url").collect()} == {("Lever", "https://jobs.lever.co/acme"), ("Greenhouse", "https://job-boards.greenhouse.io/acme")}
     route = html.apply_route(f, "url").first()
     assert (route["route"], route["method"], route["email"]) == ("https://acme.example/apply/1", "Apply Link", "hr@acme.example")

@@ -240,15 +240,15 @@ JOB_HINTS = ("job", "jobs", "career", "careers", "opening", "openings", "vacancy
 
 
 def job_links(facts: DataFrame, key: str, roles: str, blocked: tuple[str, ...] = (), most: int = 30) -> DataFrame:
-    """(key, pos, url, text): links whose own words name a role, or that hint at jobs beside words of a role; the first of each address, at most so many of a page."""
+    """(key, pos, link, text): links whose own words name a role, or that hint at jobs beside words of a role; the first of each address, at most so many of a page."""
     from ..functions import urls
     from ..operators.keyed import cap, first_wins
 
-    a = links(facts, key).where(~F.lower("href").rlike(r"^(?:javascript|mailto|tel):") & (F.col("href") != "")).withColumn("url", urls.canonical_url(F.col("href")))
-    context = F.lower(F.concat_ws(" ", "text", "near", "url"))
+    a = links(facts, key).where(~F.lower("href").rlike(r"^(?:javascript|mailto|tel):") & (F.col("href") != "")).withColumn("link", urls.canonical_url(F.col("href")))
+    context = F.lower(F.concat_ws(" ", "text", "near", "link"))
     fits = F.lower("text").rlike(roles) | (context.rlike("|".join(JOB_HINTS)) & F.lower("near").rlike(roles))
-    kept = a.where(fits & (F.col("url") != "") & (urls.blocked_reason(F.col("url"), blocked) == "")).select(key, "pos", "url", "text")
-    return cap(first_wins(kept, [key, "url"], [F.col("pos")]), [key], [F.col("pos")], most)
+    kept = a.where(fits & (F.col("link") != "") & (urls.blocked_reason(F.col("link"), blocked) == "")).select(key, "pos", "link", "text")
+    return cap(first_wins(kept, [key, "link"], [F.col("pos")]), [key], [F.col("pos")], most)
 
 
 def board_links(facts: DataFrame, key: str) -> DataFrame:
@@ -256,8 +256,8 @@ def board_links(facts: DataFrame, key: str) -> DataFrame:
     from ..functions import urls
 
     refresh = F.regexp_extract(F.coalesce(F.col("metas")["refresh"], F.lit("")), r"(?i)url=['\"]?([^'\"]+)", 1)
-    found = facts.select(key, F.explode(F.concat(F.transform("anchors", lambda a: a["href"]), F.array(refresh))).alias("url")).withColumn("provider", urls.ats_provider(F.col("url")))
-    return found.where("provider <> ''").select(key, "provider", urls.ats_board_root(F.col("url")).alias("board")).distinct()
+    found = facts.select(key, F.explode(F.concat(F.transform("anchors", lambda a: a["href"]), F.array(refresh))).alias("__link")).withColumn("provider", urls.ats_provider(F.col("__link")))
+    return found.where("provider <> ''").select(key, "provider", urls.ats_board_root(F.col("__link")).alias("board")).distinct()
 
 
 def apply_route(facts: DataFrame, url: str, open_terms: tuple[str, ...] = ("apply", "send your", "we are hiring", "vacancy", "open position")) -> DataFrame:
