@@ -32,6 +32,7 @@ REJECT = 0.12
 #: How much nearer another language must be than the document's own for a sentence to leave it.
 LEAD = 0.03
 FULL_SENTENCE = 8
+BLOCK = 64
 SPLIT = regex.compile(r"(?<=[.!?।…])[)”\"’»]*\s+|\n+")
 
 
@@ -56,7 +57,7 @@ def sentences(text: str) -> list[tuple[int, int]]:
 def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, feature, count) of each different trigram of letters and each whole word; digits and signs count as blanks."""
     joined = "\x00".join(f" {t} " for t in texts).lower()
-    joined = regex.sub(r"[^\p{L}\p{M}\x00]+", " ", joined)
+    joined = pc.replace_substring_regex(pa.array([joined], pa.large_string()), pattern=r"[^\p{L}\p{M}\x00]+", replacement=" ")[0].as_py()
     codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32).astype(np.uint64)
     owner = np.cumsum(codes == 0)
     if len(codes) < 3:
@@ -84,18 +85,17 @@ def normed(texts: list[str], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 
 
 def cosines(texts: list[str], idf: np.ndarray, centroids: np.ndarray) -> np.ndarray:
-    """(texts, centroids)."""
+    """(texts, centroids). Texts are multiplied in small blocks over the features that occur in them, which stay dense enough for the matrix product."""
     out = np.zeros((len(texts), centroids.shape[1]), np.float32)
     owner, gram, weight = normed(texts, idf)
-    if len(owner):
-        starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
-        step = 200_000  # rows of centroids held at once
-        edges = [*starts[np.unique(np.searchsorted(starts, np.arange(0, len(owner), step)).clip(max=len(starts) - 1))], len(owner)]
-        edges = sorted({0, *edges})
-        for lo, hi in zip(edges[:-1], edges[1:], strict=True):
-            own = starts[(starts >= lo) & (starts < hi)]
-            if len(own):
-                out[owner[own]] = np.add.reduceat(centroids[gram[lo:hi]] * weight[lo:hi, None].astype(np.float32), own - lo)
+    for lo in range(0, len(texts), BLOCK):
+        i, j = np.searchsorted(owner, (lo, lo + BLOCK))
+        if i == j:
+            continue
+        own, at = np.unique(gram[i:j], return_inverse=True)
+        dense = np.zeros((min(BLOCK, len(texts) - lo), len(own)), np.float32)
+        dense[owner[i:j] - lo, at] = weight[i:j]
+        out[lo : lo + len(dense)] = dense @ centroids[own]
     return out
 
 
@@ -188,12 +188,12 @@ def segments(docs: DataFrame, doc: str, text: str, model: Model) -> DataFrame:
                 spans = [sentences(t) for t in texts]
                 flat = [t[a:z] for t, s in zip(texts, spans, strict=True) for a, z in s]
                 score = m.judge(flat)
-                words = [sum(any(c.isalpha() for c in w) for w in t.split()) for t in flat]
+                words = pc.count_substring_regex(pa.array(flat, pa.string()), pattern=r"[\p{L}\p{M}\p{N}]+").to_numpy(zero_copy_only=False)
                 out: dict[str, list] = {c: [] for c in ("at", "segment", "begins", "ends", "lang", "confidence", "sentences", "full")}
                 first = 0
                 for at, s in enumerate(spans):
                     own = score[first : first + len(s)]
-                    size = np.array(words[first : first + len(s)])
+                    size = words[first : first + len(s)]
                     first += len(s)
                     if not len(s):
                         continue
