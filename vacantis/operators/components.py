@@ -23,10 +23,10 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     ever collected. Rounds grow with the logarithm of the diameter.
     """
     start = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a is not null and b is not null")
-    nodes = start.select(F.col("a").alias("node")).union(start.select(F.col("b").alias("node"))).distinct()
-    # every edge points from the larger node (a) to the smaller one (b)
-    current = materialize(start.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    nodes = materialize(nodes, "nodes")
+    # every edge points from the larger node (a) to the smaller one (b); loops only keep their node
+    given = materialize(start.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    nodes = given.select(F.col("a").alias("node")).union(given.select(F.col("b").alias("node"))).distinct()
+    current = given.where("a <> b")
     for _ in range(max_rounds):
         # large star: link each neighbour greater than n to the least of n's neighbourhood
         low = _minima(current)
