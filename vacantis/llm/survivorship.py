@@ -47,7 +47,7 @@ def same_thing(df: DataFrame, row: str, keys: list[Column]) -> DataFrame:
     A key held by many rows gives each of them one edge to the least of them, never all pairs.
     """
     held = df.select(F.col(row).alias("row"), F.explode(F.array(*[F.when(k.isNotNull(), F.concat(F.lit(f"{i}:"), k)) for i, k in enumerate(keys)])).alias("key")).where("key is not null")
-    held = held.select("row", F.xxhash64("key").alias("key"), F.xxhash64(F.reverse("key")).alias("again"))
+    held = materialize(held.select("row", F.xxhash64("key").alias("key"), F.xxhash64(F.reverse("key")).alias("again")), "keys")
     first = held.groupBy("key", "again").agg(F.min("row").alias("first"))
     edges = held.join(first, ["key", "again"]).where("row <> first").select(F.col("row").alias("a"), F.col("first").alias("b"))
     return connected_components(edges).select(F.col("node").alias("row"), F.col("component").alias("group"))
