@@ -23,11 +23,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.standins import says_nothing
+from ..session import collect_bounded
 
 DIMENSIONS = 1 << 15
 CENTROIDS = 4
 #: The classifier is fitted on the known sentences and on at most so many labelled documents of each label.
 SAMPLE = 150
+MOST_SAMPLES = 20_000
 REJECT = 0.12
 #: How much nearer another language must be than the document's own for a sentence to leave it.
 LEAD = 0.03
@@ -158,7 +160,10 @@ class Model:
 
 def fit(docs: DataFrame, text: str, label: str, samples: DataFrame, sample_text: str, sample_label: str) -> Model:
     """The classifier: from all known sentences and a seeded sample of labelled documents, SAMPLE of a label at most."""
-    known = [(r[0], r[1]) for r in samples.select(label_key(F.col(sample_label)), sample_text).where(F.col(sample_text).isNotNull()).collect() if r[0]]
+    listed = collect_bounded(samples.select(label_key(F.col(sample_label)), sample_text).where(F.col(sample_text).isNotNull()), MOST_SAMPLES)
+    if listed is None:
+        raise ValueError(f"more than {MOST_SAMPLES} known sentences: give a sample of them")
+    known = [(r[0], r[1]) for r in listed if r[0]]
     own = sorted({k for k, _ in known})
     keyed = docs.select(label_key(F.col(label)).alias("lang"), F.col(text).alias("text")).where(F.col("lang").isin(own) & F.col("text").isNotNull())
     order = F.xxhash64("text")

@@ -26,6 +26,8 @@ from ..session import collect_bounded, materialize
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 #: The lengths of all sources come to the driver: one row for each source and length that occurs.
 MOST_LENGTHS = 2_000_000
+#: The targets are a setting of a few rows; the check keeps it one.
+MOST_TARGETS = 10_000
 #: The knapsack table spans so many times the greatest length at most; the even share covers the rest of a budget.
 TABLE_LENGTHS = 8
 #: A group of equal source and length is drawn from in so many parts, so that none lands in one task.
@@ -96,7 +98,10 @@ def fit(lengths: dict[int, int], budget: int) -> dict[int, int]:
 def plan(counted: DataFrame, targets: DataFrame) -> tuple[list[dict], list[tuple[str, int, int]]]:
     """(one report a source, draws): a draw says how many documents of a source and length come once more than the passes."""
     total = counted.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
-    wanted = targets.select(source_key(F.col("source")).alias("key"), "source", "target_share", "max_repeats").collect()
+    wanted = targets.select(source_key(F.col("source")).alias("key"), "source", "target_share", "max_repeats")
+    wanted = collect_bounded(wanted, MOST_TARGETS)
+    if wanted is None:
+        raise ValueError(f"more than {MOST_TARGETS} sources in the targets")
     histogram = counted.join(F.broadcast(targets.select(source_key(F.col("source")).alias("source")).distinct()), "source").groupBy("source", "tokens").agg(F.count("*").alias("n"))
     rows = collect_bounded(histogram, MOST_LENGTHS)
     if rows is None:

@@ -161,5 +161,24 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(sorted(own.items(), key=lambda x: (int(x[0][1:].split("_")[0]), x[0])))
 
 
+WORDS = "regexp_extract_all(lower({text}), '[\\p{{L}}\\p{{N}}]+')"
+
+
+def _runs(table: str, key: str, text: str, k: int, where: str = "true") -> str:
+    """SQL for the different runs of k words of each text."""
+    return f"SELECT {key}, unnest(list_distinct(list_transform(range(1, len(w) - {k - 2}), lambda i: array_to_string(w[i:i+{k - 1}], ' ')))) AS r FROM (SELECT {key}, {WORDS.format(text=text)} AS w FROM {table} WHERE {where}) WHERE len(w) >= {k}"
+
+
+SOURCE = "nullif(regexp_replace(lower(trim({c})), '[\\s_\\-]+', '_', 'g'), '')"
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL where the result can be stated by comparing everything with everything, or by another measure of size."""
+    long_enough = f"description IS NOT NULL AND len({WORDS.format(text='description')}) >= 40"
+    texts = _runs("website", "row_id", "coalesce(title, '') || chr(10) || description", 3, long_enough)
+    items, docs = _runs("eval_items", "item_id", "coalesce(text, '')", 4), _runs("documents", "doc_id", "coalesce(text, '')", 4)
+    return {
+        "p3_found": f"WITH t AS ({texts}), n AS (SELECT row_id, count(*) AS n FROM t GROUP BY row_id), c AS (SELECT a.row_id AS row_id_a, b.row_id AS row_id_b, count(*) AS shared FROM t a JOIN t b ON a.r = b.r AND a.row_id < b.row_id GROUP BY 1, 2) SELECT row_id_a, row_id_b FROM c JOIN n x ON x.row_id = row_id_a JOIN n y ON y.row_id = row_id_b WHERE shared >= 0.6 * (x.n + y.n - shared)",
+        "p8_found": f"WITH i AS ({items}), n AS (SELECT item_id, count(*) AS n FROM i GROUP BY item_id), d AS ({docs}), c AS (SELECT doc_id, item_id, count(*) AS shared FROM d JOIN i ON d.r = i.r GROUP BY 1, 2) SELECT doc_id, c.item_id FROM c JOIN n ON n.item_id = c.item_id WHERE 2 * shared >= n",
+        "p9_found": f"SELECT m.source FROM mix_targets m LEFT JOIN (SELECT {SOURCE.format(c='source')} AS k, sum(n_chars) AS s FROM documents GROUP BY 1) d ON d.k = {SOURCE.format(c='m.source')} WHERE coalesce(s, 0) * max_repeats < target_share * (SELECT sum(n_chars) FROM documents)",
+    }
