@@ -63,7 +63,7 @@ def test_redirects_blocks_and_ids(spark):
     assert one(spark, urls.blocked_reason(F.col("u"), ["big-portal.com"]), u="https://notbig-portal.com/a") == ""
     assert one(spark, urls.linkedin_job_id(F.col("u")), u="https://in.linkedin.com/jobs/view/role-at-x-4412345678") == "4412345678"
     assert one(spark, urls.is_generic_careers_url(F.col("u")), u="https://x.example/careers/") is True
-    assert one(spark, urls.company_from_domain(F.col("u")), u="https://www.hingooarchitects.com/a") == "Hingoo Architects"
+    assert one(spark, urls.company_from_domain(F.col("u")), u="https://www.northlightarchitects.example/a") == "Northlight Architects"
 
 
 @settings(max_examples=15, deadline=None)
