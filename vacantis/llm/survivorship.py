@@ -99,10 +99,11 @@ def unusable(df: DataFrame, row: str, fields: list[str], titles: list[str], know
     empty = values.where(says_nothing(F.col("value"))).select("field", "value")
     said = values.where(~says_nothing(F.col("value")))
     garbled = encoding.garbled_fields(said.select("field", "value", F.struct("field", "value").alias("row")), "row", ["value"]).select("row.field", "row.value")
-    parts = [empty, cut_short(said, known), garbled]
+    # each part on its own: one plan of all would grow with every stage that ends
+    parts = [empty, materialize(cut_short(said, known), "cut"), materialize(garbled, "garbled")]
     if titles:
         some = said.where(F.col("field").isin(titles)).select(F.struct("field", "value").alias("row"), "value")
-        parts.append(residue.residue_fields(some, "row", ["value"]).select("row.field", "row.value"))
+        parts.append(materialize(residue.residue_fields(some, "row", ["value"]).select("row.field", "row.value"), "residue"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
