@@ -1,10 +1,11 @@
 """Template residue, filler and error-page text in place of content.
 
 Trusted labels come from rules: an unfilled template field anywhere, or a text made up wholly of filler, error,
-waiting or script notices. Whole-text labels then spread to near-duplicates: SimHash fingerprints of five-word
-shingles are matched through partitioned tables, verified by Hamming distance and by Jaccard similarity of the
-shingles (0.8 or more), and every text of a component that holds a trusted label takes it. Components without a
-label are never built: they grow outward from the labels, one frontier a round, which ends with the same result.
+waiting or script notices. Whole-text labels then spread to near-duplicates: texts meet by the prefixes of their
+five-word shingles and are verified by Jaccard similarity of the shingles (0.8 or more), and every text of a component
+that holds a trusted label takes it. Two sets of that similarity share at least 0.8 of the larger one, so the least
+hashes of each, 0.2 of its shingles and one, have one in common: no pair is missed, as tables of SimHash blocks would.
+Components without a label are never built: they grow outward from the labels, one frontier a round, until no text joins.
 
 Cases: null, empty and blank fields are never reported; rows repeated whole are reported each; texts of fewer
 than five words are one shingle; texts without letters or digits have no shingle and take part by rule only; empty
@@ -14,7 +15,6 @@ tables give empty results.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +27,8 @@ from ..session import materialize
 
 SHINGLE = 5
 SIMILARITY = 0.8
-HAMMING = 16
-BLOCKS = 8
+#: Results of so many rounds stay apart before they are written as one.
+PARTS = 10
 
 # fixed values: the ways template engines write a field; the name stands in the group
 STRONG = r"\{\{\{?\s*([A-Za-z][\w .\-]{0,40}?)\s*\}\}|\$\{\s*([A-Za-z][\w .\-]{0,40}?)\s*\}|\[\[\s*([A-Za-z][\w .\-]{0,40}?)\s*\]\]|\{%-?\s*([A-Za-z][\w .\-]{0,40}?)\s*-?%\}|%\(([A-Za-z][\w .\-]{0,40}?)\)[sd]|<<\s*([A-Za-z][\w .\-]{0,40}?)\s*>>|@@([A-Za-z][\w .\-]{0,40}?)@@|\b__([A-Za-z][\w .\-]{0,40}?)__|<%=?\s*([A-Za-z][\w .\-]{0,40}?)\s*%>|#\{\s*([A-Za-z][\w .\-]{0,40}?)\s*\}|\*\|([A-Za-z][\w .\-]{0,40}?)\|\*"
@@ -136,24 +136,17 @@ def _sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return tokens.shingle_sets(offsets, tokens.word_hashes(words), SHINGLE)
 
 
-def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The least shingle hashes of each text, so many that no similar text can do without all of them."""
     for b in batches:
         offsets, parts = _sets(b.column("text"))
         size = np.diff(offsets)
         some = np.flatnonzero(size)
-        prints = tokens.simhashes(offsets, parts).view(np.int64)
-        yield pa.RecordBatch.from_arrays([b.column("id").take(pa.array(some)), pa.array(prints[some]), pa.array(size[some].astype(np.int32))], ["id", "hash", "size"])
-
-
-def table_keys(fingerprints: DataFrame, spread: bool) -> DataFrame:
-    """One row for each table: two of the blocks of the fingerprint, within a size class. With ``spread`` also the neighbouring classes, as similar texts may stand in those."""
-    width = 64 // BLOCKS
-    block = [F.shiftrightunsigned("hash", width * i).bitwiseAND(F.lit((1 << width) - 1)) for i in range(BLOCKS)]
-    pairs = [F.lit(n).cast("long") * F.lit(1 << (2 * width)) + block[i] * F.lit(1 << width) + block[j] for n, (i, j) in enumerate(combinations(range(BLOCKS), 2))]
-    step = 1 / SIMILARITY
-    klass = F.floor(F.log(step, F.col("size").cast("double"))).cast("long")
-    keyed = fingerprints.withColumn("klass", F.explode(F.array(klass - 1, klass, klass + 1)) if spread else klass)
-    return keyed.select("id", "hash", "size", F.explode(F.array(*pairs)).alias("slot"), "klass").withColumn("key", F.col("klass") * F.lit(1 << 24) + F.col("slot")).drop("slot", "klass")
+        take = size[some] - np.ceil(SIMILARITY * size[some] - 1e-9).astype(np.int64) + 1
+        ends = np.concatenate([[0], np.cumsum(take)])
+        at = np.arange(ends[-1]) + np.repeat(offsets[:-1][some] - ends[:-1], take)
+        keys = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(parts[at].astype(np.uint32).view(np.int32)))
+        yield pa.RecordBatch.from_arrays([b.column("id").take(pa.array(some)), keys, pa.array(size[some].astype(np.int32))], ["id", "keys", "size"])
 
 
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,29 +160,29 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(keep))
 
 
-def spread_labels(texts: DataFrame, labelled: DataFrame, rounds: int = 20) -> tuple[DataFrame, DataFrame]:
+def spread_labels(texts: DataFrame, labelled: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Grow components from labelled texts: (ids that take the label, verified links).
 
     ``texts``: (id, text), ids distinct. ``labelled``: (id). Each round matches only the texts that joined in the round
-    before against all, so its cost follows the labelled part.
+    before against those without a label, so its cost follows the labelled part. It ends when no text joins.
     """
     kind = dict(texts.dtypes)["id"]
-    prints = materialize(texts.select("id", "text").mapInArrow(_fingerprints, f"id {kind}, hash long, size int"), "prints")
+    prints = materialize(texts.select("id", "text").mapInArrow(_prefixes, f"id {kind}, keys array<int>, size int"), "prints")
     taken = materialize(labelled.select("id").distinct(), "labelled")
-    frontier, links = taken, None
-    for _ in range(rounds):
-        near = table_keys(prints.join(frontier, "id", "left_semi"), spread=True).select(F.col("id").alias("a"), F.col("hash").alias("hash_a"), F.col("size").alias("size_a"), "key")
-        far = table_keys(prints, spread=False).select(F.col("id").alias("b"), F.col("hash").alias("hash_b"), F.col("size").alias("size_b"), "key")
-        cand = near.join(far, "key").where("a <> b and bit_count(hash_a ^ hash_b) <= %d and least(size_a, size_b) >= %f * greatest(size_a, size_b)" % (HAMMING, SIMILARITY)).select("a", "b").distinct()
-        cand = cand.join(taken.select(F.col("id").alias("b")), "b", "left_anti")
+    frontier, links, parts = taken, None, 0
+    while True:
+        near = prints.join(frontier, "id", "left_semi").select(F.col("id").alias("a"), F.col("size").alias("size_a"), F.explode("keys").alias("key"))
+        far = prints.join(taken, "id", "left_anti").select(F.col("id").alias("b"), F.col("size").alias("size_b"), F.explode("keys").alias("key"))
+        cand = near.join(far, "key").where(f"least(size_a, size_b) >= {SIMILARITY} * greatest(size_a, size_b)").select("a", "b").distinct()
         with_text = cand.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
         found = materialize(with_text.select("a", "b", "text_a", "text_b").mapInArrow(_similar, f"a {kind}, b {kind}"), "links")
-        links = found if links is None else links.unionByName(found)
+        links, parts = (found, 1) if links is None else (links.unionByName(found), parts + 1)
+        if parts > PARTS:  # a long chain would make the plan grow with every round
+            links, parts = materialize(links, "links"), 1
         frontier = found.select(F.col("b").alias("id")).distinct()
         if not frontier.take(1):
-            break
+            return taken, links
         taken = materialize(taken.unionByName(frontier), "labelled")
-    return taken, links
 
 
 def values_of(df: DataFrame, row: str, fields: list[str]) -> DataFrame:
