@@ -68,3 +68,12 @@ def test_rss_and_sitemaps(spark):
     got = {r["loc"] for r in feeds.sitemap_pages(maps, maps.where("url = 'r'").select("url"), "url", "body").collect()}
     assert got == {"https://x/a?b=1&c=2", "https://x/deep"}
     assert feeds.sitemap_pages(maps.limit(0), maps.select("url"), "url", "body").count() == 0
+
+
+def test_words_beside_links_and_times_count_wherever_they_stand(spark):
+    filler = "We draw and build. " * 40
+    page = f'<body><div>{filler}<a href="/openings/1">Details</a> for an architect</div><p>{filler}<a href="/go/apply">Here</a> you can apply</p><p>{filler} Posted on <time datetime="2026-01-05">Monday</time></p></body>'
+    f = facts(spark, [("https://acme.example/p", page)])
+    assert [r["link"] for r in html.job_links(f, "url", "architect").collect()] == ["https://acme.example/openings/1"]
+    assert html.apply_route(f, "url").first()["route"] == "https://acme.example/go/apply"
+    assert str(f.select(html.posted_date(f).alias("d")).first()["d"]).startswith("2026-01-05")

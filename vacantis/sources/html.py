@@ -19,9 +19,10 @@ SCHEMA = """
 title string, h1 string, main_text string, all_text string, has_form boolean,
 metas map<string,string>, jsonld array<string>,
 headings array<struct<pos:int,level:int,text:string,section:string,href:string>>,
-anchors array<struct<pos:int,href:string,text:string,near:string>>,
+anchors array<struct<pos:int,href:string,text:string,near:int>>,
 images array<struct<pos:int,src:string,alt:string,in_header:boolean,width:string,height:string>>,
-icons array<string>, times array<struct<value:string,near:string>>
+icons array<string>, times array<struct<value:string,near:int>>,
+beside array<string>
 """
 # fixed values: elements without a closing tag, and those whose text is none of the page's
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -51,7 +52,7 @@ class PageParser(HTMLParser):
         self.stack: list[str] = []
         self.parts: list[tuple[str, tuple[str, ...]]] = []
         self.open: list[dict] = []
-        self.facts: dict = {"title": "", "has_form": False, "metas": {}, "jsonld": [], "headings": [], "anchors": [], "images": [], "icons": [], "times": []}
+        self.facts: dict = {"title": "", "has_form": False, "metas": {}, "jsonld": [], "headings": [], "anchors": [], "images": [], "icons": [], "times": [], "beside": []}
         self.events: list[tuple[str, object]] = []
 
     def join(self, href: str | None) -> str:
@@ -112,6 +113,16 @@ class PageParser(HTMLParser):
     def text_from(self, start: int) -> str:
         return squash(" ".join(t for t, path in self.parts[start:] if not MUTE & set(path)))
 
+    def parent(self) -> int | None:
+        """The place in ``beside`` of the innermost open element, whose whole text is set when it closes; each is kept once, however many links are in it."""
+        if not self.open:
+            return None
+        node = self.open[-1]
+        if "beside" not in node:
+            node["beside"] = len(self.facts["beside"])
+            self.facts["beside"].append("")
+        return node["beside"]
+
     def close_node(self, tag: str, node: dict) -> None:
         f = self.facts
         if tag == "title" and not f["title"]:
@@ -119,16 +130,16 @@ class PageParser(HTMLParser):
         elif tag == "script" and "ld+json" in node["attrs"].get("type", "").lower():
             f["jsonld"].append("".join(node["raw"]))
         elif tag == "a":
-            near = self.text_from(self.open[-1]["start"]) if self.open else ""
-            f["anchors"].append({"pos": len(f["anchors"]), "href": self.join(node["attrs"].get("href")), "text": self.text_from(node["start"]), "near": near[:300]})
+            f["anchors"].append({"pos": len(f["anchors"]), "href": self.join(node["attrs"].get("href")), "text": self.text_from(node["start"]), "near": self.parent()})
             for up in reversed(self.open):
                 if re.fullmatch(r"h[1-6]", up["tag"]):
                     up["href"] = self.join(node["attrs"].get("href"))
         elif tag == "time":
-            near = self.text_from(self.open[-1]["start"]) if self.open else ""
-            f["times"].append({"value": node["attrs"].get("datetime") or self.text_from(node["start"]), "near": near[:300]})
+            f["times"].append({"value": node["attrs"].get("datetime") or self.text_from(node["start"]), "near": self.parent()})
         elif "event" in node:
             node["text"] = self.text_from(node["start"])
+        if "beside" in node:
+            f["beside"][node["beside"]] = self.text_from(node["start"])
 
     def handle_data(self, data: str) -> None:
         if self.open:
@@ -182,7 +193,7 @@ def page_facts(pages: DataFrame, url: str, html: str) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            facts = pd.DataFrame([parse_page(u, h) for u, h in zip(b[url], b[html], strict=True)], columns=["title", "h1", "main_text", "all_text", "has_form", "metas", "jsonld", "headings", "anchors", "images", "icons", "times"])
+            facts = pd.DataFrame([parse_page(u, h) for u, h in zip(b[url], b[html], strict=True)], columns=["title", "h1", "main_text", "all_text", "has_form", "metas", "jsonld", "headings", "anchors", "images", "icons", "times", "beside"])
             yield pd.concat([b.drop(columns=[html]).reset_index(drop=True), facts], axis=1)
 
     return pages.mapInPandas(run, f"{kept}, {SCHEMA}")
@@ -198,7 +209,8 @@ def page_title(facts: DataFrame) -> Column:
 
 def links(facts: DataFrame, key: str) -> DataFrame:
     """(key, pos, href, text, near) of every link."""
-    return facts.select(key, F.explode("anchors").alias("a")).select(key, "a.*")
+    near = F.coalesce(F.get("beside", F.col("a.near")), F.lit("")).alias("near")
+    return facts.select(key, "beside", F.explode("anchors").alias("a")).select(key, "a.pos", "a.href", "a.text", near)
 
 
 def role_headings(facts: DataFrame, key: str) -> DataFrame:
@@ -264,7 +276,7 @@ def apply_route(facts: DataFrame, url: str, open_terms: tuple[str, ...] = ("appl
     """(url, route, method, email): the first link to apply, else the page's form, else the best address, where the page is open for applications."""
     from ..functions import contacts, urls
 
-    is_apply = lambda a: ~F.lower(a["href"]).startswith("mailto:") & (F.lower(a["text"]).rlike("apply|submit application|send cv|send resume") | (F.lower(a["href"]).contains("apply") & F.lower(a["near"]).contains("apply")))
+    is_apply = lambda a: ~F.lower(a["href"]).startswith("mailto:") & (F.lower(a["text"]).rlike("apply|submit application|send cv|send resume") | (F.lower(a["href"]).contains("apply") & F.lower(F.get("beside", a["near"])).contains("apply")))
     first = urls.canonical_url(F.get(F.filter("anchors", is_apply), F.lit(0))["href"])
     mails = F.transform(F.filter("anchors", lambda a: F.lower(a["href"]).startswith("mailto:")), lambda a: F.regexp_replace(a["href"], r"(?i)^mailto:|\?.*$", ""))
     email = contacts.best_email(F.concat_ws(" ", F.array_join(mails, " "), "all_text"))
@@ -279,5 +291,5 @@ def posted_date(facts: DataFrame) -> Column:
     from ..functions import dates
 
     metas = [dates.parse_date(facts["metas"][k]) for k in ("article:published_time", "date", "dateposted")]
-    near = F.filter(facts["times"], lambda t: F.lower(t["near"]).rlike("posted|published"))
+    near = F.filter(facts["times"], lambda t: F.lower(F.get(facts["beside"], t["near"])).rlike("posted|published"))
     return F.coalesce(*metas, dates.parse_date(F.get(near, F.lit(0))["value"]), dates.labelled_date(facts["all_text"], dates.POSTED_LABELS))
