@@ -58,6 +58,13 @@ def test_long_text_and_empty_table(spark):
     assert found(spark, [(1, None, "short")]) == set()
 
 
+def test_full_bitmaps_are_left_to_the_texts(spark):
+    half = [(1, None, " ".join(f"v{i}" for i in range(12_000))), (2, None, " ".join(f"v{i}" for i in range(4_000, 16_000)))]
+    assert found(spark, half) == set()  # Jaccard 0.5
+    like = [(1, None, " ".join(f"v{i}" for i in range(12_000))), (2, None, " ".join(f"v{i}" for i in range(2_000, 14_000)))]
+    assert found(spark, like) == {(1, 2)}  # Jaccard 0.71
+
+
 @pytest.mark.parametrize("similarity", [0.6, 0.8, 0.95])
 def test_collision_curve(similarity):
     b = nd.bands_for(similarity, 3, 1e-3)

@@ -6,7 +6,7 @@ outside of which no pair can lie. Comparing all tiles with all would be quadrati
 MinHash bands; within a block, tiles sorted by population count are compared by exclusive-or, and tile pairs whose
 counts differ beyond the radius are never formed. Blocks of many rows are cut into tiles that go to different tasks.
 What survives is decided on wider bitmaps by linear counting, and on the texts themselves where that is near the
-threshold.
+threshold or a bitmap is too full to count.
 
 Cases: rows with too few words are left out; a null title counts as empty; rows with the same words form one class,
 compared once and expanded in the result; ties cannot occur, as a pair is given once, smaller id first; empty tables
@@ -31,6 +31,8 @@ WIDE, NARROW = 1024, 256
 #: A block of more rows than this is cut into tiles of about TILE rows, by population count and then by hash.
 HOT, TILE = 2000, 1000
 COUNT_STEP = 16
+#: With more bits than this set in the wide bitmap, so few are left that their number no longer bounds the union.
+FULL = WIDE - WIDE // 16
 
 
 def bands_for(similarity: float, rows: int, missed: float) -> int:
@@ -183,7 +185,8 @@ def decide(similarity: float):
             load = union / WIDE
             doubt = 4 * np.sqrt(WIDE * (np.exp(load) - load - 1)) + 2
             estimate = lambda u: both / np.maximum(u, both / 2) - 1  # noqa: B023, E731
-            sure, never = estimate(union + doubt) >= similarity, estimate(np.maximum(union - doubt, 1)) < similarity
+            told = used <= FULL  # a fuller bitmap says nothing of the union: only the texts do
+            sure, never = told & (estimate(union + doubt) >= similarity), told & (estimate(np.maximum(union - doubt, 1)) < similarity)
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(sure)], ["a", "b", "sure"]).filter(pa.array(~never))
 
     return run
