@@ -41,3 +41,18 @@ def test_found_and_repaired(spark):
 
 def test_empty(spark):
     assert encoding.garbled_fields(rows(spark).limit(0), "id", ["a", "b"]).count() == 0
+
+
+@pytest.mark.parametrize(("first", "then"), [("cp1252", "cp1251"), ("cp1251", "cp1252"), ("mac-roman", "cp1252"), ("latin-1", "cp437")])
+def test_chains_of_two_codecs(first, then):
+    twice = encoding.garble(encoding.garble("façade", first), then)
+    assert twice in encoding.forms("façade")
+    assert encoding.ungarble(twice) == "façade"
+
+
+def test_one_single_byte_encoding_read_as_another(spark):
+    wrong = ["Café".encode("cp1252").decode(c) for c in ("cp437", "mac-roman", "cp1251")]
+    data = [(i, "Café Rorádopa") for i in range(20)] + [(100 + i, f"the {w}") for i, w in enumerate(wrong)] + [(200, "ein Kafé")]
+    df = spark.createDataFrame(data, "id long, a string")
+    got = {r["row"]: (r["restored"], r["unknown"]) for r in encoding.repaired_fields(df, "id", ["a"]).collect()}
+    assert got == {100 + i: ("the Café", 0) for i in range(3)}

@@ -1,8 +1,10 @@
 """Text read in a wrong encoding: find the affected fields and restore them.
 
-Every distinct clean word of the corpus is turned into its garbled forms under all encoding chains; the words of
-the documents are hash-joined against that table and replaced by the verified original. Words whose original stands
-nowhere in the corpus are decoded by running the chain backwards.
+Every distinct clean word of the corpus is turned into its garbled forms: its UTF-8 bytes read in one codec, once or
+again in the same or any other, and its bytes in one single-byte codec read in another. The words of the documents are
+hash-joined against that table and replaced by the verified original; a form of the last kind, which is made of
+ordinary letters, counts where the original is far commoner. Words whose original stands nowhere in the corpus are
+decoded by running chains of up to three layers backwards.
 
 Cases: null and empty texts have no words and are never reported; rows repeated whole are reported each; a word
 with two possible originals gets the more frequent one, the lesser by code points on ties; lost characters with no
@@ -21,12 +23,16 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
-# fixed values: the single-byte encodings that UTF-8 is mistaken for
+# fixed values: the single-byte encodings that UTF-8 and one another are mistaken for
 CODECS = ("cp1252", "latin-1", "cp1250", "cp1251", "cp1254", "iso8859-15", "cp437", "cp850", "cp852", "cp866", "koi8-r", "mac-roman")
 LOST = "�"
 BLANKS = "[ \\t\\n\\r]+"
 INNER_MARK = regex.compile(r"\p{L}\?\p{L}")
 MARK_INSIDE = regex.compile(r"\?[\p{L}\p{N}]")
+LETTER = regex.compile(r"\p{L}")
+FOREIGN = regex.compile(r"[^\p{Latin}\p{Common}\p{Inherited}]")
+#: A word is a misreading from one single-byte encoding to another only if its original is so many times commoner.
+COMMONER = 20
 C1 = regex.compile(r"[\x80-\x9f]")
 
 
@@ -67,42 +73,60 @@ def garble(word: str, codec: str) -> str:
     return "".join(table[b] for b in word.encode("utf-8"))
 
 
+def peel(text: str, codec: str) -> str | None:
+    """``text`` with the runs garbled by ``codec`` decoded; None if it has none."""
+    back = inverse_table(codec)
+    ok = False
+
+    def decode(m: regex.Match) -> str:
+        nonlocal ok
+        try:
+            out = bytes(back[c] for c in m.group()).decode("utf-8")
+        except UnicodeDecodeError:
+            return m.group()
+        ok = True
+        return out
+
+    out = sequence_pattern(codec).sub(decode, text)
+    return out if ok else None
+
+
 def ungarble(word: str) -> str | None:
-    """``word`` with its garbled runs decoded, under the chain that explains most of it; None if no chain does."""
-    best: tuple[int, int, str] | None = None
-    for rank, codec in enumerate(CODECS):
-        text, depth = word, 0
-        while depth < 3:
-            back = inverse_table(codec)
-            ok = False
-
-            def decode(m: regex.Match) -> str:
-                nonlocal ok
-                try:
-                    out = bytes(back[c] for c in m.group()).decode("utf-8")
-                except UnicodeDecodeError:
-                    return m.group()
-                ok = True
-                return out
-
-            following = sequence_pattern(codec).sub(decode, text)
-            if not ok:
-                break
-            text, depth = following, depth + 1
-        if depth:
-            score = (sum(c > "\x7f" for c in text) + 2 * len(C1.findall(text)), rank, text)
-            if best is None or score[:2] < best[:2]:
-                best = score
+    """``word`` with its garbled runs decoded, under the chain that explains most of it; None if no chain does.
+
+    Layers of different codecs count only where they end in Latin script: in others, clean words look garbled too.
+    """
+    best: tuple[int, tuple[int, ...], str] | None = None
+    layers: list[tuple[str, tuple[int, ...]]] = [(word, ())]
+    for _ in range(3):
+        following = {}
+        for text, chain in layers:
+            for rank, codec in enumerate(CODECS):
+                out = peel(text, codec)
+                if out is None:
+                    continue
+                path = (*chain, rank)
+                following.setdefault((out, len(set(path)) > 1), path)
+                if len(set(path)) > 1 and FOREIGN.search(out):
+                    continue
+                score = (sum(c > "\x7f" for c in out) + 2 * len(C1.findall(out)), path, out)
+                if best is None or (score[0], path[0], -len(path)) < (best[0], best[1][0], -len(best[1])):
+                    best = score
+        layers = [(text, path) for (text, _), path in following.items()]
     return best[2] if best else None
 
 
 def forms(word: str) -> dict[str, str]:
     """Garbled form to chain, for one clean word with characters beyond ASCII."""
     out: dict[str, str] = {}
-    for codec in CODECS:
-        once = garble(word, codec)
-        out.setdefault(once, codec)
-        out.setdefault(garble(once, codec), f"{codec} twice")
+    once = {codec: garble(word, codec) for codec in CODECS}
+    for codec, text in once.items():
+        out.setdefault(text, codec)
+    for codec, text in once.items():
+        out.setdefault(garble(text, codec), f"{codec} twice")
+    for first, text in once.items():
+        for codec in CODECS:
+            out.setdefault(garble(text, codec), f"{first}, {codec}")
     places = [i for i, c in enumerate(word) if c > "\x7f"]
     for mark in (LOST, "?"):
         for wide in (False, True):
@@ -115,6 +139,22 @@ def forms(word: str) -> dict[str, str]:
     return {k: v for k, v in out.items() if "?" not in k or MARK_INSIDE.search(k)}
 
 
+def misreadings(word: str) -> dict[str, str]:
+    """Form to chain, for one clean word whose bytes in one single-byte encoding are read in another; short words would meet by chance."""
+    out: dict[str, str] = {}
+    if len(LETTER.findall(word)) < 3:
+        return out
+    for source in CODECS:
+        try:
+            data = word.encode(source)
+        except UnicodeEncodeError:
+            continue
+        for codec in CODECS:
+            out.setdefault("".join(byte_table(codec)[b] for b in data), f"{source} as {codec}")
+    out.pop(word, None)
+    return out
+
+
 def words_of(df: DataFrame, row: str, fields: list[str]) -> DataFrame:
     """(row, field, word) for the words that hold a character beyond ASCII or a question mark; words end at ASCII blanks."""
     per = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in fields])
@@ -145,8 +185,8 @@ def _classify_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _all_forms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
-        rows = [(f, w, n, chain) for w, n in zip(b["word"], b["n"], strict=True) for f, chain in forms(w).items()]
-        yield pd.DataFrame(rows, columns=["word", "original", "original_n", "chain"])
+        rows = [(f, w, n, chain, single) for w, n in zip(b["word"], b["n"], strict=True) for single, made in ((False, forms(w)), (True, misreadings(w))) for f, chain in made.items()]
+        yield pd.DataFrame(rows, columns=["word", "original", "original_n", "chain", "single"])
 
 
 def verdicts(words: DataFrame) -> DataFrame:
@@ -156,11 +196,12 @@ def verdicts(words: DataFrame) -> DataFrame:
     """
     seen = words.groupBy("word").agg(F.count("*").alias("n"))
     kinds = materialize(seen.mapInPandas(_classify_all, "word string, n long, kind string, decoded string"), "words")
-    table = kinds.where("kind = 'clean'").select("word", "n").mapInPandas(_all_forms, "word string, original string, original_n long, chain string")
-    order = F.struct(F.col("original_n"), F.expr("-length(original)"), F.col("original"))
-    hits = kinds.where("kind <> 'clean'").join(table, "word").groupBy("word").agg(F.max_by("original", order).alias("original"), F.max_by("chain", order).alias("chain"))
-    joined = kinds.where("kind <> 'clean'").join(hits, "word", "left")
-    return joined.where("original is not null or kind <> 'mark'").select("word", F.coalesce("original", "decoded").alias("restored"), F.coalesce("chain", F.when(F.col("decoded").isNotNull(), "reversed"), F.lit("lost")).alias("chain"))
+    table = kinds.where("kind = 'clean'").select("word", "n").mapInPandas(_all_forms, "word string, original string, original_n long, chain string, single boolean")
+    order = F.struct(~F.col("single"), F.col("original_n"), F.expr("-length(original)"), F.col("original"))
+    met = kinds.join(table, "word").where(f"(kind <> 'clean' and not single) or (single and original_n >= {COMMONER} * n)")
+    hits = met.groupBy("word").agg(F.max_by("original", order).alias("original"), F.max_by("chain", order).alias("chain"))
+    joined = kinds.join(hits, "word", "left")
+    return joined.where("original is not null or kind not in ('mark', 'clean')").select("word", F.coalesce("original", "decoded").alias("restored"), F.coalesce("chain", F.when(F.col("decoded").isNotNull(), "reversed"), F.lit("lost")).alias("chain"))
 
 
 def garbled_fields(df: DataFrame, row: str, fields: list[str]) -> DataFrame:
