@@ -46,6 +46,16 @@ def test_learned_order_where_timestamps_are_missing(spark):
     assert order == {("junior", "architect"), ("architect", "senior"), ("junior", "senior")}
 
 
+def test_long_chains_of_learned_order(spark):
+    steps = "zyxwvu"
+    rows = [(g, "t", 10 * g + i, v, i) for g, pair in enumerate(zip(steps, steps[1:], strict=False), 1) for i, v in enumerate(pair)]
+    rows += [(50, "t", 501, "z", None), (50, "t", 502, "u", None)]
+    rows += [(60, "r", 601, "p", 1), (60, "r", 602, "q", 2), (61, "r", 611, "q", 1), (61, "r", 612, "o", 2), (62, "r", 621, "o", 1), (62, "r", 622, "p", 2)]
+    rows += [(63, "r", 631, "q", None), (63, "r", 632, "p", None)]
+    got = {r["group"]: r["row"] for r in sv.survivors(observed(spark, rows)).where("group in (50, 63)").collect()}
+    assert got == {50: 502, 63: 631}  # the latest of six in a row; values in a cycle go by row
+
+
 def test_unusable(spark):
     rows = [(1, "Architect", "Acme Studio"), (2, "Untitled", "N/A"), (3, "Fa�ade Engineer", "Acm…"), (4, None, ""), (5, "Architect", "Acme Studio")]
     df = spark.createDataFrame(rows, "id long, title string, firm string")

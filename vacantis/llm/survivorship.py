@@ -22,8 +22,6 @@ from ..operators.components import connected_components
 from ..session import materialize
 from . import encoding, residue
 
-#: Steps of precedence that are followed: a before b before c makes a before c.
-HOPS = 2
 # fixed values: short forms that end a firm's name as a whole word
 WHOLE_WORDS = "ltd pvt llp inc co corp assoc assocs collab archs intr plng dsgn engg".split()
 
@@ -110,11 +108,13 @@ def unusable(df: DataFrame, row: str, fields: list[str], titles: list[str], know
     return materialize(out.distinct(), "unusable")
 
 
-def precedence(observed: DataFrame) -> DataFrame:
+def precedence(observed: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
     """(field, before, after, seen): which value follows which, learned from timestamped rows of one group.
 
     Rows are put in order by day and then within the day, and consecutive values are counted; a pair counts in the
-    direction that is seen more often. A group of any size is spread over its days.
+    direction that is seen more often. A group of any size is spread over its days. Steps are followed to their end: a
+    before b before c makes a before c, as often seen as its rarest step, by the chain where that is most. With
+    ``wanted`` (field, value) only pairs of these values are given, and only they are followed.
     """
     dated = observed.where("ts is not null").withColumn("day", F.to_date("ts"))
     within = Window.partitionBy("group", "field", "day").orderBy("ts", "row")
@@ -124,10 +124,16 @@ def precedence(observed: DataFrame) -> DataFrame:
     joins = ends.withColumn("before", F.lag("last").over(across)).where("before is not null and before <> first").select("field", "before", F.col("first").alias("after"))
     counted = steps.unionByName(joins).groupBy("field", F.least("before", "after").alias("low"), F.greatest("before", "after").alias("high")).agg(F.sum(F.when(F.col("before") < F.col("after"), 1).otherwise(-1)).alias("net"))
     one = counted.where("net <> 0").select("field", F.when(F.col("net") > 0, F.col("low")).otherwise(F.col("high")).alias("before"), F.when(F.col("net") > 0, F.col("high")).otherwise(F.col("low")).alias("after"), F.abs("net").alias("seen"))
-    out = one
-    for _ in range(HOPS - 1):
-        onward = out.select("field", "before", F.col("after").alias("via"), "seen").join(one.select("field", F.col("before").alias("via"), "after", F.col("seen").alias("then")), ["field", "via"])
-        out = out.unionByName(onward.where("before <> after").select("field", "before", "after", F.least("seen", "then").alias("seen"))).groupBy("field", "before", "after").agg(F.max("seen").alias("seen"))
+    one = materialize(one, "steps")
+    onward = one.select("field", F.col("before").alias("via"), "after", F.col("seen").alias("then"))
+    out = one if wanted is None else materialize(one.join(wanted.select("field", F.col("value").alias("before")), ["field", "before"], "left_semi"), "order")
+    fresh = out
+    while fresh.take(1):
+        longer = fresh.select("field", "before", F.col("after").alias("via"), "seen").join(onward, ["field", "via"]).where("before <> after").groupBy("field", "before", "after").agg(F.max(F.least("seen", "then")).alias("seen"))
+        fresh = materialize(longer.join(out.withColumnRenamed("seen", "known"), ["field", "before", "after"], "left").where("known is null or seen > known").drop("known"), "order")
+        out = materialize(out.unionByName(fresh).groupBy("field", "before", "after").agg(F.max("seen").alias("seen")), "order")
+    if wanted is not None:
+        out = out.join(wanted.select("field", F.col("value").alias("after")), ["field", "after"], "left_semi").select("field", "before", "after", "seen")
     back = out.select("field", F.col("after").alias("before"), F.col("before").alias("after"))
     return out.join(back, ["field", "before", "after"], "left_anti")
 
@@ -139,11 +145,14 @@ def survivors(observed: DataFrame) -> DataFrame:
     undated = observed.where("ts is null").groupBy("group", "field", "value").agg(F.min("row").alias("row"))
     if not undated.take(1):
         return dated.select("group", "field", "row")
-    order = materialize(precedence(observed), "order")
     # only sets with an undated value need the order
     open_sets = undated.select("group", "field").distinct()
     candidates = undated.withColumn("dated", F.lit(0)).unionByName(dated.join(open_sets, ["group", "field"], "left_semi").withColumn("dated", F.lit(1)))
     candidates = candidates.groupBy("group", "field", "value").agg(F.max("dated").alias("dated"), F.max_by("row", F.struct("dated", F.expr("-row"))).alias("row"))
+    candidates = materialize(candidates, "candidates")
+    several = candidates.groupBy("group", "field").agg(F.count("*").alias("k")).where("k > 1")
+    wanted = materialize(candidates.join(several, ["group", "field"], "left_semi").select("field", "value").distinct(), "wanted")
+    order = materialize(precedence(observed, wanted), "order")
     pairs = candidates.join(order.withColumnRenamed("before", "value"), ["field", "value"]).select("group", "field", "value", "after", "seen")
     standing = pairs.join(candidates.select("group", "field", F.col("value").alias("after")), ["group", "field", "after"])
     beaten = standing.select("group", "field", "value").distinct().withColumn("beaten", F.lit(1))
