@@ -41,6 +41,23 @@ def test_substitutions_are_tolerated():
     assert runs[0] < 0.5 < words[0]
 
 
+def test_every_fourth_word_replaced(spark):
+    words = [f"w{i}" for i in range(40)]
+    edited = " ".join("zz" if i % 4 == 3 else w for i, w in enumerate(words))
+    docs = spark.createDataFrame([(1, f"before {edited} after"), (2, " ".join(words[:12])), (3, "w1 w9 w30")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, " ".join(words))], "item_id long, text string")
+    got = leakage.leaks(docs, "doc_id", "text", items, "item_id", "text").collect()
+    assert [(r["doc"], r["run_share"]) for r in got] == [(1, 0.0)] and got[0]["word_share"] > 0.7
+
+
+def test_a_phrase_of_all_items_is_taken_in_parts(spark, monkeypatch):
+    items = spark.createDataFrame([(i, f"the same four words x{i} y{i} z{i} q{i}") for i in range(60)], "item_id long, text string")
+    docs = spark.createDataFrame([(d, f"the same four words x{d} y{d} z{d} q{d} the same four words") for d in range(30)], "doc_id long, text string")
+    monkeypatch.setattr(leakage, "LOAD", 100)
+    got = {(r["doc"], r["item"]) for r in leakage.leaks(docs, "doc_id", "text", items, "item_id", "text").collect()}
+    assert got == {(d, d) for d in range(30)}
+
+
 def subset_sum(lengths, budget):
     reach = {0}
     for n, c in lengths.items():

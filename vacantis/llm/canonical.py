@@ -109,6 +109,10 @@ class Index:
             for n in range(4, len(w)):
                 for e in seen[w]:
                     self.heads.setdefault(w[:n], {}).setdefault(e, set()).add(w)
+        self.holders: dict[str, list[int]] = defaultdict(list)
+        for at, (_, ws) in enumerate(self.names):
+            for w in set(ws):
+                self.holders[w].append(at)
         self.cache: dict[str, dict[str, float]] = {}
 
     def similar(self, word: str) -> dict[str, float]:
@@ -161,9 +165,9 @@ class Index:
         found_all = self._found(everywhere)
         if not found_all:
             return "", 0.0
-        for entry, name in self.names:
-            if not any(w in found_all for w in name):
-                continue
+        # the candidates are the names that hold a word found through the grams; no other name is looked at
+        for at in sorted({at for w in found_all for at in self.holders[w]}):
+            entry, name = self.names[at]
             score = self._cosine(name, found_all)
             if score < 0.75 or any(w not in found_all for w in name):
                 score = 0.0
@@ -213,5 +217,7 @@ def map_values(df: DataFrame, row: str, column: str, entries: DataFrame, entry:
     forms = entries.select(F.expr(canonical).alias("value")).where("value is not null").distinct()
     values = df.select(F.col(row).alias("row"), F.col(column).alias("value")).where(F.col("value").rlike(r"\S"))
     values = values.join(F.broadcast(forms), "value", "left_anti")
-    judged = values.select("value").distinct().mapInPandas(match, "value string, entry_id string, score double")
+    # a number of parts of our own: distinct values are few bytes but much work, and would else be put into one task
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    judged = values.select("value").distinct().repartition(parts, "value").mapInPandas(match, "value string, entry_id string, score double")
     return values.join(judged, "value").select("row", "value", "entry_id", "score")

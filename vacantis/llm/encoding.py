@@ -3,8 +3,10 @@
 Every distinct clean word of the corpus is turned into its garbled forms: its UTF-8 bytes read in one codec, once or
 again in the same or any other, and its bytes in one single-byte codec read in another. The words of the documents are
 hash-joined against that table and replaced by the verified original; a form of the last kind, which is made of
-ordinary letters, counts where the original is far commoner. Words whose original stands nowhere in the corpus are
-decoded by running chains of up to three layers backwards.
+ordinary letters, counts where the original is far commoner. What the join cannot verify, as the original stands nowhere
+in the corpus, is ``unverified``: such words are decoded by running chains of up to three layers backwards, or
+reported with their lost characters; ``verified_only`` leaves them out. The joins are by hash with both sides
+shuffled: words and forms grow with the corpus and are never broadcast.
 
 Cases: null and empty texts have no words and are never reported; rows repeated whole are reported each; a word
 with two possible originals gets the more frequent one, the lesser by code points on ties; lost characters with no
@@ -189,7 +191,7 @@ def _all_forms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["word", "original", "original_n", "chain", "single"])
 
 
-def verdicts(words: DataFrame) -> DataFrame:
+def verdicts(words: DataFrame, verified_only: bool = False) -> DataFrame:
     """(word, restored, chain) for every garbled word among ``words``; restored is null where the original is unknown.
 
     Work is per distinct word, so a word in a third of all rows is judged once; counting combines on the map side.
@@ -198,16 +200,20 @@ def verdicts(words: DataFrame) -> DataFrame:
     kinds = materialize(seen.mapInPandas(_classify_all, "word string, n long, kind string, decoded string"), "words")
     table = kinds.where("kind = 'clean'").select("word", "n").mapInPandas(_all_forms, "word string, original string, original_n long, chain string, single boolean")
     order = F.struct(~F.col("single"), F.col("original_n"), F.expr("-length(original)"), F.col("original"))
-    met = kinds.join(table, "word").where(f"(kind <> 'clean' and not single) or (single and original_n >= {COMMONER} * n)")
-    hits = met.groupBy("word").agg(F.max_by("original", order).alias("original"), F.max_by("chain", order).alias("chain"))
-    joined = kinds.join(hits, "word", "left")
-    return joined.where("original is not null or kind not in ('mark', 'clean')").select("word", F.coalesce("original", "decoded").alias("restored"), F.coalesce("chain", F.when(F.col("decoded").isNotNull(), "reversed"), F.lit("lost")).alias("chain"))
+    met = kinds.hint("merge").join(table, "word").where(f"(kind <> 'clean' and not single) or (single and original_n >= {COMMONER} * n)")
+    verified = met.groupBy("word").agg(F.max_by("original", order).alias("restored"), F.max_by("chain", order).alias("chain"))
+    if verified_only:
+        return materialize(verified, "verdicts")
+    verified = materialize(verified, "verified")
+    rest = kinds.where("kind in ('garbled', 'lost')").join(verified.hint("merge"), "word", "left_anti")
+    rest = rest.select("word", F.col("decoded").alias("restored"), F.when(F.col("decoded").isNotNull(), "unverified").otherwise("lost").alias("chain"))
+    return materialize(verified.unionByName(rest), "verdicts")
 
 
-def garbled_fields(df: DataFrame, row: str, fields: list[str]) -> DataFrame:
+def garbled_fields(df: DataFrame, row: str, fields: list[str], verified_only: bool = False) -> DataFrame:
     """(row, field) of every field that holds a garbled word."""
     words = materialize(words_of(df, row, fields), "tokens")
-    return words.join(verdicts(words), "word", "left_semi").select("row", "field").distinct()
+    return words.join(verdicts(words, verified_only).hint("merge"), "word", "left_semi").select("row", "field").distinct()
 
 
 def _restore(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -222,7 +228,7 @@ def _restore(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def repaired_fields(df: DataFrame, row: str, fields: list[str]) -> DataFrame:
     """(row, field, restored, unknown): the affected fields as originally written, and how many words stay unknown."""
     words = materialize(words_of(df, row, fields), "tokens")
-    swaps = words.join(verdicts(words), "word").groupBy("row", "field").agg(F.collect_list(F.struct("word", "restored")).alias("swaps"))
+    swaps = words.join(verdicts(words).hint("merge"), "word").groupBy("row", "field").agg(F.collect_list(F.struct("word", "restored")).alias("swaps"))
     per = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in fields])
     texts = df.select(F.col(row).alias("row"), F.explode(per).alias("x")).select("row", "x.field", "x.text")
     return texts.join(swaps, ["row", "field"]).select("row", "field", "text", "swaps").mapInPandas(_restore, f"row {dict(df.dtypes)[row]}, field string, restored string, unknown int")

@@ -106,7 +106,12 @@ def _leaks(spark: SparkSession, root: str) -> DataFrame:
 
 
 def p8_found(spark: SparkSession, root: str) -> DataFrame:
-    return _leaks(spark, root).select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"))
+    return _leaks(spark, root).where("run_share >= 0.5").select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"))
+
+
+def p8_edited(spark: SparkSession, root: str) -> DataFrame:
+    """Items that stand in a document with words replaced: too few whole runs, but most of their words are covered."""
+    return _leaks(spark, root).where("run_share < 0.5").select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"), "run_share", "word_share")
 
 
 def p8_items(spark: SparkSession, root: str) -> DataFrame:
@@ -180,5 +185,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "p3_found": f"WITH t AS ({texts}), n AS (SELECT row_id, count(*) AS n FROM t GROUP BY row_id), c AS (SELECT a.row_id AS row_id_a, b.row_id AS row_id_b, count(*) AS shared FROM t a JOIN t b ON a.r = b.r AND a.row_id < b.row_id GROUP BY 1, 2) SELECT row_id_a, row_id_b FROM c JOIN n x ON x.row_id = row_id_a JOIN n y ON y.row_id = row_id_b WHERE shared >= 0.6 * (x.n + y.n - shared)",
         "p8_found": f"WITH i AS ({items}), n AS (SELECT item_id, count(*) AS n FROM i GROUP BY item_id), d AS ({docs}), c AS (SELECT doc_id, item_id, count(*) AS shared FROM d JOIN i ON d.r = i.r GROUP BY 1, 2) SELECT doc_id, c.item_id FROM c JOIN n ON n.item_id = c.item_id WHERE 2 * shared >= n",
+        "p8_items": f"WITH i AS ({items}), n AS (SELECT item_id, count(*) AS n FROM i GROUP BY item_id), d AS ({docs}), c AS (SELECT doc_id, item_id, count(*) AS shared FROM d JOIN i ON d.r = i.r GROUP BY 1, 2), f AS (SELECT c.item_id, count(*) AS documents, max(shared / n::DOUBLE) AS best FROM c JOIN n ON n.item_id = c.item_id WHERE 2 * shared >= n GROUP BY 1) SELECT e.item_id, coalesce(documents, 0) AS documents, coalesce(best, 0.0) AS best_share FROM eval_items e LEFT JOIN f ON f.item_id = e.item_id",
         "p9_found": f"SELECT m.source FROM mix_targets m LEFT JOIN (SELECT {SOURCE.format(c='source')} AS k, sum(n_chars) AS s FROM documents GROUP BY 1) d ON d.k = {SOURCE.format(c='m.source')} WHERE coalesce(s, 0) * max_repeats < target_share * (SELECT sum(n_chars) FROM documents)",
     }
