@@ -26,3 +26,8 @@ def test_ties_and_empty(spark):
     assert got == {1: "", 2: "A"}
     assert {r["entry_id"] for r in canonical.map_values(df, "id", "v", twins.limit(0), "id", ["name"], "name").collect()} == {""}
     assert canonical.map_values(df.limit(0), "id", "v", twins, "id", ["name"], "name").count() == 0
+
+
+def test_short_forms_of_words():
+    for short, word, is_one in [("consv", "conservation", True), ("mgr", "manager", True), ("plnr", "planner", True), ("cons", "conservation", False), ("pan", "panchelu", False), ("cat", "conservation", False), ("conx", "conservation", False), ("planner", "planner", False), ("co", "conservation", False)]:
+        assert canonical.abbreviates(short, word) is is_one

@@ -12,6 +12,7 @@ entries are no match; an empty list gives '' for every value.
 
 from __future__ import annotations
 
+import os
 import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
@@ -69,8 +70,11 @@ def edit_similarity(a: str, b: str) -> float:
 
 
 def abbreviates(short: str, word: str) -> bool:
-    """The first letter and then only consonants of ``word``, in order."""
-    if len(short) < 3 or short[0] != word[0] or set(short[1:]) & set("aeiou") or len(short) >= len(word):
+    """The first letter and then only consonants of ``word``, in order; after its first three letters, or more, any letters.
+
+    A mere beginning is no short form of this kind: it counts where only one name goes on from it."""
+    same = len(os.path.commonprefix([short, word]))
+    if len(short) < 3 or same < 1 or len(short) >= len(word) or (not 3 <= same < len(short) and set(short[1:]) & set("aeiou")):
         return False
     rest = iter(word)
     return all(c in rest for c in short)
