@@ -21,3 +21,17 @@ def test_lines_of_a_page(spark):
 def test_empty(spark):
     df = spark.createDataFrame([], "id long, text string")
     assert boilerplate.boilerplate_lines(df, "id", "text").count() == 0
+
+
+def test_wording_alone_does_not_make_a_line_furniture(spark):
+    mail = "Subscribe to our newsletter. Enter your e-mail and press Join."
+    pages = [(i, f"{mail}\nWe draw the house number {i} with care, and build it.") for i in range(300)]
+    pages.append((900, f"Prepare our newsletter each month, with care for its pictures.\n{mail}"))
+    got = {(r["row"], r["line_no"]) for r in boilerplate.boilerplate_lines(spark.createDataFrame(pages, "id long, text string"), "id", "text").collect()}
+    assert got == {(i, 1) for i in range(300)} | {(900, 2)}
+
+
+def test_lines_in_a_wrong_encoding_are_read_as_meant(spark):
+    page = "The cafÃ© project covers 90 mÂ² and uses bambooâ€¦\nÂ© 2026 Acme Studio. All rights reserved."
+    got = {r["line_no"] for r in boilerplate.boilerplate_lines(spark.createDataFrame([(1, page)], "id long, text string"), "id", "text").collect()}
+    assert got == {2}
