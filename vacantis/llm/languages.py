@@ -75,7 +75,9 @@ def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     of_word = np.repeat(np.arange(len(texts)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
     some = (pc.utf8_length(word).to_numpy(zero_copy_only=False) > 0) if len(word) else np.zeros(0, bool)
     words = of_word[some] * DIMENSIONS + hashed[coded.indices.to_numpy(zero_copy_only=False)[some]]
-    key, count = np.unique(np.concatenate([owner[:-2][whole].astype(np.int64) * DIMENSIONS + gram[whole].astype(np.int64), words]), return_counts=True)
+    narrow = np.int32 if len(texts) < (1 << 31) // DIMENSIONS else np.int64  # half the bytes to sort
+    key, count = np.unique(np.concatenate([owner[:-2][whole].astype(narrow) * narrow(DIMENSIONS) + gram[whole].astype(narrow), words.astype(narrow)]), return_counts=True)
+    key = key.astype(np.int64)
     return key // DIMENSIONS, key % DIMENSIONS, count
 
 
@@ -173,7 +175,7 @@ def fit(docs: DataFrame, text: str, label: str, samples: DataFrame, sample_text:
     for lang, n in total.items():
         odds = F.when(F.col("lang") == lang, min(1.0, SAMPLE / n)).otherwise(odds)
     chance = F.pmod(order, F.lit(1 << 20)) / float(1 << 20)
-    rows = keyed.where(chance < odds).limit(2 * SAMPLE * max(1, len(total))).collect()
+    rows = keyed.where(chance < odds).orderBy(order, "lang").limit(2 * SAMPLE * max(1, len(total))).collect()
     taken: dict[str, list[str]] = {}
     for r in rows:
         taken.setdefault(r["lang"], []).append(r["text"])

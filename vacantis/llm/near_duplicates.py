@@ -115,14 +115,13 @@ def compare_tiles(similarity: float):
         step = 1
         while True:
             at = at[at + step < len(key)]
-            at = at[key[at] == key[at + step]]
+            # rows are sorted by size: once a row's partner is beyond the radius, so are all further ones
+            at = at[(key[at] == key[at + step]) & (size[at + step] - size[at] <= radius(size[at] + size[at + step], similarity))]
             if not len(at):
                 break
-            other = at + step
-            near = radius(size[at] + size[other], similarity)
-            ok = (np.abs(size[at] - size[other]) <= near) & ((side[at] != side[other]) | (side[at] == 0))
-            i, j = at[ok], other[ok]
-            hit = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1) <= near[ok]
+            ok = (side[at] != side[at + step]) | (side[at] == 0)
+            i, j = at[ok], at[ok] + step
+            hit = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1) <= radius(size[i] + size[j], similarity)
             left.append(ident[i[hit]])
             right.append(ident[j[hit]])
             step += 1
@@ -162,9 +161,9 @@ def blocks(signed: DataFrame, similarity: float) -> DataFrame:
     cool = plain(keyed.join(hot, "key", "left_anti"))
     # a tile is a range of population counts and a share of its rows; only tiles within the radius of each other meet
     tiled = keyed.join(hot, "key").withColumn("step", F.floor(F.col("size") / COUNT_STEP).cast("int")).withColumn("part", F.pmod(F.xxhash64("row"), F.col("tiles")).cast("int"))
-    tiled = tiled.withColumn("tile", F.col("step") * F.lit(1 << 16) + F.col("part"))
+    tiled = tiled.withColumn("tile", F.col("step").cast("long") * F.lit(1 << 32) + F.col("part"))
     others = F.expr(
-        f"filter(flatten(transform(sequence(cast(floor(step * {similarity}) as int) - 1, cast(ceil((step + 1) / {similarity}) as int) + 1), s -> transform(sequence(0, tiles - 1), p -> s * {1 << 16} + p))), t -> t >= 0)"
+        f"filter(flatten(transform(sequence(cast(floor(step * {similarity}) as int) - 1, cast(ceil((step + 1) / {similarity}) as int) + 1), s -> transform(sequence(0, tiles - 1), p -> cast(s as bigint) * {1 << 32} + p))), t -> t >= 0)"
     )
     met = tiled.withColumn("other", F.explode(others))
     slot = F.xxhash64("key", F.least("tile", "other"), F.greatest("tile", "other"))
@@ -210,7 +209,7 @@ def verify(similarity: float, shingle: int):
     return run
 
 
-def class_links(df: DataFrame, row: str, text: Column, body: Column, least_words: int, shingle: int, similarity: float, certain: float | None = None, rows: int = 3, missed: float = 5e-4) -> tuple[DataFrame, DataFrame]:
+def class_links(df: DataFrame, row: str, text: Column, body: Column, least_words: int, shingle: int, similarity: float, certain: float | None = None, rows: int = 3, missed: float = 2e-5) -> tuple[DataFrame, DataFrame]:
     """(links between classes, membership): links (a, b) between the least rows of two classes of equal words, a < b; membership (row, class).
 
     ``certain`` is the similarity at which the bands miss at most the share ``missed``; by default the threshold.

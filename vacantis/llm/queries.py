@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.standins import STAND_INS
 from ..session import load, materialize
 from . import boilerplate, canonical, encoding, languages, leakage, mixing, name_variants, near_duplicates, residue, survivorship
 
@@ -14,13 +15,45 @@ FIELDS_OF_SET = ["title", "employer_name", "location"]
 TEXT_FIELDS = ["title", "description", "employer_name"]
 
 
-def _sets(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _groups(web: DataFrame) -> DataFrame:
+    return materialize(survivorship.same_thing(web, "row_id", [survivorship.id_key(F.col("external_id")), survivorship.url_key(F.col("apply_url"))]), "sets")
+
+
+def _usable(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     web = load(spark, root, "website")
-    groups = materialize(survivorship.same_thing(web, "row_id", [survivorship.id_key(F.col("external_id")), survivorship.url_key(F.col("apply_url"))]), "sets")
+    groups = _groups(web)
     places = load(spark, root, "ref_places")
     known = places.select(F.explode(F.split(F.lower(F.concat_ws(" ", "city", "state", "country", F.translate("aliases", "|", " "))), r"\s+")).alias("word")).distinct()
     bad = survivorship.unusable(web, "row_id", FIELDS_OF_SET, ["title"], known)
-    return web, groups, survivorship.survivors(survivorship.observations(web, "row_id", groups, FIELDS_OF_SET, "last_seen", bad))
+    return web, groups, survivorship.observations(web, "row_id", groups, FIELDS_OF_SET, "last_seen", bad)
+
+
+def _sets(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    web, groups, observed = _usable(spark, root)
+    return web, groups, survivorship.survivors(observed)
+
+
+def p1_sets(spark: SparkSession, root: str) -> DataFrame:
+    """Every row of a set of two or more, with the set it belongs to."""
+    return _groups(load(spark, root, "website")).select(F.col("row").alias("row_id"), F.col("group").alias("group_row_id"))
+
+
+def p1_undated(spark: SparkSession, root: str) -> DataFrame:
+    """How the learned order does without timestamps: those of every tenth row are blanked, and the survivors of the sets that lost one are held against the survivors by true times.
+
+    One row for each field: the sets that lost a timestamp and hold two usable values or more, how many of them keep
+    their surviving value, and how many would by the latest of the timestamps left.
+    """
+    observed = materialize(_usable(spark, root)[2], "observed")
+    blank = F.pmod(F.xxhash64("row"), F.lit(10)) == 0
+    some = materialize(observed.withColumn("ts", F.when(~blank, F.col("ts"))), "blanked")
+    lost = some.groupBy("group", "field").agg(F.max(F.col("ts").isNull()).alias("lost"), F.countDistinct("value").alias("values")).where("lost and values > 1").select("group", "field")
+    value = observed.select("group", "field", "row", "value")
+    of = lambda chosen, name: chosen.join(value, ["group", "field", "row"]).select("group", "field", F.col("value").alias(name))
+    both = lost.join(of(survivorship.survivors(observed), "true"), ["group", "field"]).join(of(survivorship.survivors(some), "learned"), ["group", "field"])
+    dated = of(survivorship.survivors(some.where("ts is not null")), "latest_left")
+    both = both.join(dated, ["group", "field"], "left")
+    return both.groupBy("field").agg(F.count("*").alias("sets"), F.sum((F.col("true") == F.col("learned")).cast("int")).alias("kept"), F.sum(F.col("true").eqNullSafe(F.col("latest_left")).cast("int")).alias("kept_by_latest_left"))
 
 
 def p1_found(spark: SparkSession, root: str) -> DataFrame:
@@ -182,8 +215,16 @@ def oracle_sql() -> dict[str, str]:
     long_enough = f"description IS NOT NULL AND len({WORDS.format(text='description')}) >= 40"
     texts = _runs("website", "row_id", "coalesce(title, '') || chr(10) || description", 3, long_enough)
     items, docs = _runs("eval_items", "item_id", "coalesce(text, '')", 4), _runs("documents", "doc_id", "coalesce(text, '')", 4)
+    said = lambda c: f"regexp_replace(lower({c}), '[^\\p{{L}}\\p{{N}}\\p{{M}}]+', '', 'g')"
+    blank = "('', " + ", ".join(f"'{w}'" for w in STAND_INS) + ")"
+    ident = f"CASE WHEN {said('external_id')} NOT IN {blank} THEN 'i:' || {said('external_id')} END"
+    address = r"regexp_replace(regexp_replace(regexp_replace(lower(regexp_replace(apply_url, '\s+', '', 'g')), '^[a-z][a-z0-9+.\-]*:/*|^//', ''), '[?#].*$', ''), '^www\.|[/.,;]+$', '', 'g')"
+    place = f"CASE WHEN {said('apply_url')} NOT IN {blank} AND contains({address}, '.') THEN 'u:' || {address} END"
+    sets = f"WITH RECURSIVE k AS (SELECT row_id, {ident} AS key FROM website UNION SELECT row_id, {place} FROM website), e AS (SELECT DISTINCT a.row_id AS a, b.row_id AS b FROM k a JOIN k b ON a.key = b.key AND a.row_id <> b.row_id), r AS (SELECT a AS row_id, a AS other FROM e UNION SELECT r.row_id, e.b FROM r JOIN e ON e.a = r.other)"
     return {
+        "p1_sets": f"{sets} SELECT row_id, min(other) AS group_row_id FROM r GROUP BY row_id",
         "p3_found": f"WITH t AS ({texts}), n AS (SELECT row_id, count(*) AS n FROM t GROUP BY row_id), c AS (SELECT a.row_id AS row_id_a, b.row_id AS row_id_b, count(*) AS shared FROM t a JOIN t b ON a.r = b.r AND a.row_id < b.row_id GROUP BY 1, 2) SELECT row_id_a, row_id_b FROM c JOIN n x ON x.row_id = row_id_a JOIN n y ON y.row_id = row_id_b WHERE shared >= 0.6 * (x.n + y.n - shared)",
+        "p3_classes": f"WITH w AS (SELECT row_id, array_to_string({WORDS.format(text="coalesce(title, '') || chr(10) || description")}, ' ') AS words FROM website WHERE {long_enough}), m AS (SELECT row_id, min(row_id) OVER (PARTITION BY words) AS class_row_id FROM w), t AS ({texts}), h AS (SELECT t.* FROM t JOIN m USING (row_id) WHERE row_id = class_row_id), n AS (SELECT row_id, count(*) AS n FROM h GROUP BY row_id), c AS (SELECT a.row_id AS x, b.row_id AS y, count(*) AS shared FROM h a JOIN h b ON a.r = b.r AND a.row_id <> b.row_id GROUP BY 1, 2), l AS (SELECT x, count(*) AS links FROM c JOIN n p ON p.row_id = x JOIN n q ON q.row_id = y WHERE shared >= 0.6 * (p.n + q.n - shared) GROUP BY 1) SELECT m.row_id, class_row_id, coalesce(links, 0) AS links FROM m LEFT JOIN l ON x = class_row_id",
         "p8_found": f"WITH i AS ({items}), n AS (SELECT item_id, count(*) AS n FROM i GROUP BY item_id), d AS ({docs}), c AS (SELECT doc_id, item_id, count(*) AS shared FROM d JOIN i ON d.r = i.r GROUP BY 1, 2) SELECT doc_id, c.item_id FROM c JOIN n ON n.item_id = c.item_id WHERE 2 * shared >= n",
         "p8_items": f"WITH i AS ({items}), n AS (SELECT item_id, count(*) AS n FROM i GROUP BY item_id), d AS ({docs}), c AS (SELECT doc_id, item_id, count(*) AS shared FROM d JOIN i ON d.r = i.r GROUP BY 1, 2), f AS (SELECT c.item_id, count(*) AS documents, max(shared / n::DOUBLE) AS best FROM c JOIN n ON n.item_id = c.item_id WHERE 2 * shared >= n GROUP BY 1) SELECT e.item_id, coalesce(documents, 0) AS documents, coalesce(best, 0.0) AS best_share FROM eval_items e LEFT JOIN f ON f.item_id = e.item_id",
         "p9_found": f"SELECT m.source FROM mix_targets m LEFT JOIN (SELECT {SOURCE.format(c='source')} AS k, sum(n_chars) AS s FROM documents GROUP BY 1) d ON d.k = {SOURCE.format(c='m.source')} WHERE coalesce(s, 0) * max_repeats < target_share * (SELECT sum(n_chars) FROM documents)",
