@@ -4,7 +4,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from vacantis.functions import contacts, dates, standins, text, titles, tokens, urls
+from vacantis.functions import contacts, dates, standins, statements, text, titles, tokens, urls
 
 
 def one(spark, column, **values):
@@ -83,15 +83,15 @@ def test_keys_agree_on_list_and_detail_page(spark):
 
 def test_statements(spark):
     t = "CV detailing internship / work. Job type: Full time. Gender: any. B. Arch required, 3-5 years. Urgent hiring! ₹ 30,000 - 45,000 per month"
-    assert one(spark, text.employment_type(F.col("t")), t=t) == "Full Time"
-    assert one(spark, text.gender(F.col("t")), t=t) == "Both"
-    assert one(spark, text.qualification(F.col("t")), t=t) == "B.Arch"
-    assert one(spark, text.experience(F.col("t")), t=t) == "3-5 years"
-    assert one(spark, text.urgent(F.col("t")), t=t) == "yes"
-    assert tuple(one(spark, text.salary_parts(F.col("t")), t="₹ 30,000 - 45,000 per month")) == ("30000", "45000", "Monthly")
-    assert tuple(one(spark, text.salary_parts(F.col("t")), t="6.5 LPA")) == ("650000", "", "Yearly")
-    assert one(spark, text.plausible_experience(F.col("t")), t="Over 60 years since we began. Minimum 4 years of experience.").lower() == "minimum 4 years"
-    for f in (text.employment_type, text.gender, text.qualification, text.experience, text.plausible_experience, text.salary_text):
+    assert one(spark, statements.employment_type(F.col("t")), t=t) == "Full Time"
+    assert one(spark, statements.gender(F.col("t")), t=t) == "Both"
+    assert one(spark, statements.qualification(F.col("t")), t=t) == "B.Arch"
+    assert one(spark, statements.experience(F.col("t")), t=t) == "3-5 years"
+    assert one(spark, statements.urgent(F.col("t")), t=t) == "yes"
+    assert tuple(one(spark, statements.salary_parts(F.col("t")), t="₹ 30,000 - 45,000 per month")) == ("30000", "45000", "Monthly")
+    assert tuple(one(spark, statements.salary_parts(F.col("t")), t="6.5 LPA")) == ("650000", "", "Yearly")
+    assert one(spark, statements.plausible_experience(F.col("t")), t="Over 60 years since we began. Minimum 4 years of experience.").lower() == "minimum 4 years"
+    for f in (statements.employment_type, statements.gender, statements.qualification, statements.experience, statements.plausible_experience, statements.salary_text):
         assert one(spark, f(F.col("t")), t=None) == ""
 
 
@@ -99,15 +99,15 @@ def test_tags_categories_levels(spark):
     assert one(spark, text.pipe_tags(F.col("t")), t="Revit, revit; 3ds Max | BIM,, ") == "Revit|3ds Max|BIM"
     assert one(spark, text.role_category(F.col("t")), t="Senior Interior Designer") == "Interior Design"
     assert one(spark, text.role_category(F.col("t")), t=None) == "Architecture / Design"
-    assert one(spark, text.career_level(F.col("t"), F.col("e")), t="Architect", e="8-12 years") == "Senior Level"
-    assert one(spark, text.career_level(F.col("t"), F.col("e")), t="Architect", e="") == ""
+    assert one(spark, statements.career_level(F.col("t"), F.col("e")), t="Architect", e="8-12 years") == "Senior Level"
+    assert one(spark, statements.career_level(F.col("t"), F.col("e")), t="Architect", e="") == ""
     assert one(spark, text.soft_title(F.col("t")), t="senior-bim-architect") == "Senior BIM Architect"
 
 
 def test_main_description(spark):
     body = "We draw schools and parks with care for the people who use them. " * 3
     t = "Home About Projects Careers Contact Acme Acme " + body + "GET IN TOUCH Phone 1"
-    assert one(spark, text.main_description(F.col("d"), F.col("t"), F.col("c")), d=t, t="Architect", c="Acme") == body.strip()
+    assert one(spark, statements.main_description(F.col("d"), F.col("t"), F.col("c")), d=t, t="Architect", c="Acme") == body.strip()
 
 
 def test_contacts(spark):

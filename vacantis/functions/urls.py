@@ -24,13 +24,36 @@ ATS_HOSTS = {
     "BambooHR": ("bamboohr.com", "applytojob.com"),
     "Freshteam": ("freshteam.com",),
 }
-# fixed values: where each system keeps a board, by the identifier in the path
+# fixed values: where each system keeps a board; {id} is its identifier, {host} the host of the address
 ATS_BOARDS = {
-    "Greenhouse": "https://job-boards.greenhouse.io/",
-    "Ashby": "https://jobs.ashbyhq.com/",
-    "SmartRecruiters": "https://careers.smartrecruiters.com/",
-    "Workable": "https://apply.workable.com/",
+    "Lever": "https://jobs.lever.co/{id}",
+    "Greenhouse": "https://job-boards.greenhouse.io/{id}",
+    "Ashby": "https://jobs.ashbyhq.com/{id}",
+    "SmartRecruiters": "https://careers.smartrecruiters.com/{id}",
+    "Workable": "https://apply.workable.com/{id}",
+    "Freshteam": "https://{host}/jobs",
 }
+# fixed values: the board of a host that has one of its own
+HOST_BOARDS = {"jobs.eu.lever.co": "https://jobs.eu.lever.co/{id}"}
+# fixed values: where the identifier of a board stands, the first that is there
+ATS_IDENTIFIERS = {
+    "Lever": ("path",),
+    "Greenhouse": ("path",),
+    "Ashby": ("path",),
+    "SmartRecruiters": ("path",),
+    "Workable": ("path",),
+    "Breezy": ("path", "label"),
+    "Teamtailor": ("path", "label"),
+    "Recruitee": ("path", "label"),
+    "BambooHR": ("path", "label"),
+    "Jobvite": ("path", "host"),
+    "iCIMS": ("path", "host"),
+    "Zoho Recruit": ("path", "host"),
+    "Freshteam": ("tenant",),
+    "Workday": ("tenant",),
+}
+# fixed values: first labels of a host that name no firm
+COMMON_LABELS = ("www", "jobs", "careers", "apply")
 # fixed values: last path parts of a careers page that names no vacancy
 CAREER_PATHS = "career careers jobs job openings opening open-positions open-position opportunities opportunity join-us work-with-us vacancies vacancy".split()
 # fixed values: suffixes under which content networks mirror other hosts
@@ -127,29 +150,28 @@ def ats_provider(url: Column) -> Column:
 
 
 def ats_identifier(url: Column) -> Column:
-    """The board's identifier: mostly the first path part, else from the host."""
-    host, first, provider = domain(url), F.coalesce(F.get(path_parts(url), F.lit(0)), F.lit("")), ats_provider(url)
+    """The board's identifier, from the place that ATS_IDENTIFIERS gives for its system; empty where there is none."""
+    host, provider = domain(url), ats_provider(url)
     label = F.regexp_extract(host, r"^([^.]*)", 1)
-    return (
-        F.when(provider.isin("Lever", "Greenhouse", "Ashby", "SmartRecruiters", "Workable"), first)
-        .when(provider.isin("Breezy", "Teamtailor", "Recruitee", "BambooHR"), F.when(first != "", first).when(~label.isin("www", "jobs", "careers", "apply"), label).otherwise(""))
-        .when(provider.isin("Jobvite", "iCIMS", "Zoho Recruit"), F.when(first != "", first).otherwise(host))
-        .when(provider.isin("Freshteam", "Workday"), F.regexp_replace(host, r"\.(?:freshteam|myworkdayjobs)\.com$", ""))
-        .otherwise("")
-    )
+    at = {
+        "path": F.coalesce(F.get(path_parts(url), F.lit(0)), F.lit("")),
+        "label": F.when(label.isin(*COMMON_LABELS), "").otherwise(label),
+        "host": host,
+        "tenant": F.regexp_replace(host, r"\.[^.]+\.com$", ""),
+    }
+    rules: dict[tuple[str, ...], list[str]] = {}
+    for name, places in ATS_IDENTIFIERS.items():
+        rules.setdefault(places, []).append(name)
+    return F.coalesce(*[F.when(provider.isin(*names), F.coalesce(*[F.nullif(at[p], F.lit("")) for p in places], F.lit(""))) for places, names in rules.items()], F.lit(""))
 
 
 def ats_board_root(url: Column) -> Column:
-    """One address for all pages of a board."""
-    provider, ident, host = ats_provider(url), ats_identifier(url), domain(url)
-    lever = F.when(host == "jobs.eu.lever.co", "https://jobs.eu.lever.co/").otherwise("https://jobs.lever.co/")
-    fixed = F.coalesce(*[F.when(provider == p, F.lit(b)) for p, b in ATS_BOARDS.items()])
-    return (
-        F.when((provider == "Lever") & (ident != ""), F.concat(lever, ident))
-        .when(fixed.isNotNull() & (ident != ""), F.concat(fixed, ident))
-        .when(provider == "Freshteam", F.concat(F.lit("https://"), host, F.lit("/jobs")))
-        .otherwise(canonical_url(url))
-    )
+    """One address for all pages of a board, from the forms in HOST_BOARDS and ATS_BOARDS; else the address itself."""
+    host, provider, ident = domain(url), ats_provider(url), ats_identifier(url)
+    fill = lambda form: F.replace(F.replace(F.lit(form), F.lit("{id}"), ident), F.lit("{host}"), host)
+    own = [F.when((host == h) & (ident != ""), fill(form)) for h, form in HOST_BOARDS.items()]
+    known = [F.when((provider == p) & (ident != ""), fill(form)) for p, form in ATS_BOARDS.items()]
+    return F.coalesce(*own, *known, canonical_url(url))
 
 
 def is_generic_careers_url(url: Column) -> Column:

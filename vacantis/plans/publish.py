@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import dates, text
+from ..functions import dates, statements, text
 from ..functions.text import squashed
 from .tables import WEBSITE
 
@@ -37,11 +37,11 @@ def website_rows(records: DataFrame, as_of: str, expiry_days: int = 7, most_char
     c = lambda name: squashed(F.col(f"`{name}`")) if name in records.columns else F.lit("")
     whole = F.when(c("Full Description") != "", c("Full Description")).otherwise(c("Short Description"))
     short = F.when(F.length(whole) > most_chars, F.concat(F.regexp_replace(F.substring(whole, 1, most_chars), r"\s\S*$", ""), F.lit("..."))).otherwise(whole)
-    description = text.main_description(short, c("Job Title"), c("Company"))
+    description = statements.main_description(short, c("Job Title"), c("Company"))
     by_mail = (F.lower(c("Application Method")) == "email") | F.lower(c("Apply URL")).startswith("mailto:")
     mail = F.when(F.lower(c("Apply URL")).startswith("mailto:"), F.trim(F.regexp_replace(c("Apply URL"), r"(?i)^mailto:|\?.*$", ""))).otherwise(c("Public Contact Email"))
     deadline = dates.parse_date(F.when(c("Application Deadline") != "", c("Application Deadline")).otherwise(c("Valid Through")))
-    pay = text.salary_parts(c("Salary"))
+    pay = statements.salary_parts(c("Salary"))
     country = F.when(c("Country") != "", c("Country")).otherwise("India")
     place = F.filter(F.array(c("City"), c("State"), country), lambda p: p != "")
     compact = F.array_join(F.filter(F.array(F.when(c("City") != "", c("City")).otherwise(c("State")), country), lambda p: p != ""), "|")
@@ -56,7 +56,7 @@ def website_rows(records: DataFrame, as_of: str, expiry_days: int = 7, most_char
         "expiry_date": dates.day_text(dates.rolling_expiry(deadline, F.lit(as_of).cast("date"), expiry_days)),
         "application_deadline_date": dates.day_text(deadline),
         "featured": F.lit("no"),
-        "urgent": text.urgent(F.concat_ws(" ", c("Job Title"), description)),
+        "urgent": statements.urgent(F.concat_ws(" ", c("Job Title"), description)),
         "filled": F.lit("no"),
         "apply_type": F.when(by_mail, "email").otherwise("external"),
         "apply_url": F.when(by_mail, "").otherwise(c("Apply URL")),
@@ -71,10 +71,10 @@ def website_rows(records: DataFrame, as_of: str, expiry_days: int = 7, most_char
         "type": c("Job Type"),
         "tag": text.pipe_tags(c("Skills")),
         "experience": c("Experience"),
-        "gender": text.gender(description),
+        "gender": statements.gender(description),
         "industry": F.coalesce(*[F.when(category == k, F.lit(v)) for k, v in INDUSTRIES.items()], F.lit("Architecture")),
-        "qualification": text.qualification(description),
-        "career_level": text.career_level(c("Job Title"), c("Experience")),
+        "qualification": statements.qualification(description),
+        "career_level": statements.career_level(c("Job Title"), c("Experience")),
         "logo_url": sized_logo(c("Logo URL")),
     }
     return records.select(*[cells.get(name, F.lit("")).alias(name) for name in WEBSITE])

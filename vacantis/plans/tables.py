@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import dates, text, urls
+from ..functions import dates, statements, text, urls
 from ..functions.contacts import email_rank
 from ..operators import history, keyed
 from ..session import load

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import contacts, dates, text
+from ..functions import statements as st
 from ..operators.reasons import score
 from ..session import load
 from .registry import query
@@ -69,19 +70,25 @@ YEARS = r"(?i)\b(\d{1,2})\s*\+?\s*(?:years?|yrs?)\b"
 
 @query(f"SELECT row_id, list_max(y) AS most_years, list_min(y) AS least_years, len(y) AS stated FROM (SELECT row_id, list_transform(regexp_extract_all(coalesce(description, ''), '{YEARS}', 1), lambda x: CAST(x AS INT)) AS y FROM website) WHERE len(y) > 0")
 def years_stated(spark: SparkSession, root: str) -> DataFrame:
-    y = load(spark, root, "website").select("row_id", text.years(F.col("description")).alias("y")).where(F.size("y") > 0)
+    y = load(spark, root, "website").select("row_id", st.years(F.col("description")).alias("y")).where(F.size("y") > 0)
     return y.select("row_id", F.array_max("y").alias("most_years"), F.array_min("y").alias("least_years"), F.size("y").cast("long").alias("stated"))
 
 
 @query(r"SELECT row_id, coalesce(nullif(regexp_extract(coalesce(experience, ''), '(?i)\b\d+\s*(?:-|–|to)\s*\d+\s*(?:years?|yrs?)\b', 0), ''), nullif(regexp_extract(coalesce(experience, ''), '(?i)\b\d+\+\s*(?:years?|yrs?)\b', 0), ''), nullif(regexp_extract(coalesce(experience, ''), '(?i)\bminimum\s+\d+\s*(?:years?|yrs?)\b', 0), ''), nullif(regexp_extract(coalesce(experience, ''), '(?i)\b(?:experience|exp)\s*[:\-]?\s*\d+\s*(?:-|–|to)?\s*\d*\s*(?:years?|yrs?)\b', 0), ''), '') AS experience FROM website")
 def experience(spark: SparkSession, root: str) -> DataFrame:
-    return load(spark, root, "website").select("row_id", text.experience(F.col("experience")).alias("experience"))
+    return load(spark, root, "website").select("row_id", st.experience(F.col("experience")).alias("experience"))
 
 
-@query()
+MENTION = r"(?i)(?:minimum\s+)?\d+\s*(?:(?:-|–|to)\s*\d+|\+)?\s*(?:years?|yrs?)"
+
+
+@query(
+    f"WITH t AS (SELECT row_id, {sql_text(SQUASH, 'description')} AS d FROM website), m AS (SELECT row_id, regexp_extract_all(d, '{MENTION}', 0) AS m, string_split_regex(d, '{MENTION}') AS b FROM t), "
+    r"c AS (SELECT row_id, list_filter(list_transform(range(1, len(m) + 1), lambda i: struct_pack(m := m[i], near := lower(right(b[i], 35) || m[i] || left(b[i + 1], 45)), most := list_max(list_transform(regexp_extract_all(m[i], '(?i)\b(\d{1,2})\s*\+?\s*(?:years?|yrs?)\b', 1), lambda y: CAST(y AS INT))))), lambda x: (NOT contains(x.near, 'since') OR contains(x.near, 'experience')) AND coalesce(x.most <= 35, false)) AS k FROM m) "
+    r"SELECT row_id, coalesce(regexp_extract(list_filter(k, lambda x: regexp_matches(x.m, '\d\s*(?:-|–|to)\s*\d'))[1].m, '\d.*$', 0), list_filter(k, lambda x: regexp_matches(x.m, '(?i)^minimum\s+\d'))[1].m, k[1].m, '') AS experience FROM c"
+)
 def experience_in_text(spark: SparkSession, root: str) -> DataFrame:
-    """Needs the words around a match, which the oracle's expressions cannot look at; checked in the tests."""
-    return load(spark, root, "website").select("row_id", text.plausible_experience(F.col("description")).alias("experience"))
+    return load(spark, root, "website").select("row_id", st.plausible_experience(F.col("description")).alias("experience"))
 
 
 @query(
@@ -89,7 +96,7 @@ def experience_in_text(spark: SparkSession, root: str) -> DataFrame:
 )
 def salaries(spark: SparkSession, root: str) -> DataFrame:
     stated = F.concat(F.trim(F.concat_ws(" - ", F.nullif("salary", F.lit("")), F.nullif("max_salary", F.lit("")))), F.lit(" "), F.coalesce("salary_type", F.lit("")))
-    parts = text.salary_parts(stated)
+    parts = st.salary_parts(stated)
     return load(spark, root, "website").select("row_id", parts.alias("p")).select("row_id", "p.low", "p.high", "p.per")
 
 
@@ -120,7 +127,7 @@ def expiry_dates(spark: SparkSession, root: str) -> DataFrame:
 
 @query(r"SELECT row_id, CASE WHEN regexp_matches(b, 'intern|trainee|junior|0-2 year|0–2 year|1-3 year|1–3 year') THEN 'Entry Level' WHEN regexp_matches(b, 'senior|lead|principal|associate|director|head') THEN 'Senior Level' WHEN m >= 7 THEN 'Senior Level' WHEN m >= 3 THEN 'Mid Level' WHEN m IS NOT NULL THEN 'Entry Level' ELSE '' END AS level FROM (SELECT row_id, lower(concat_ws(' ', trim(coalesce(title, '')), trim(coalesce(experience, '')))) AS b, list_min(list_transform(regexp_extract_all(coalesce(experience, ''), '\b(\d+)\b', 1), lambda x: CAST(x AS INT))) AS m FROM website)")
 def career_levels(spark: SparkSession, root: str) -> DataFrame:
-    return load(spark, root, "website").select("row_id", text.career_level(F.col("title"), F.col("experience")).alias("level"))
+    return load(spark, root, "website").select("row_id", st.career_level(F.col("title"), F.col("experience")).alias("level"))
 
 
 NOISE = ("our services", "services", "projects", "portfolio", "clients", "get a quote", "gallery", "contact us")
@@ -133,13 +140,54 @@ def text_scores(spark: SparkSession, root: str) -> DataFrame:
     return load(spark, root, "website").select("row_id", text.count_terms(d, NOISE).alias("noise"), score([(n, text.contains_any(d, (t,))) for t, n in EVIDENCE], most=6).alias("evidence"))
 
 
+def _typed() -> str:
+    noun = r"\s+(?:" + "|".join(st.TYPE_NOUNS) + r")\b"
+    named = [f"CASE WHEN regexp_matches(t, '{st.any_of(ws)}{noun}') THEN '{n}' END" for n, ws in st.STATED_TYPES.items()]
+    under = r"array_to_string(regexp_extract_all(t, '(?:job|employment|position)\s*type\s*[:\-]?\s*([^.;|]{1,80})', 1), ' ')"
+    listed = [f"CASE WHEN regexp_matches({under}, '{st.any_of(ws)}\\b') THEN '{n}' END" for n, ws in st.LABELLED_TYPES.items()]
+    each = ", ".join(named + listed)
+    return f"array_to_string(list_filter([{each}], lambda x, i: x IS NOT NULL AND list_position([{each}], x) = i), ', ')"
+
+
+def _degree() -> str:
+    named = ", ".join("nullif(regexp_extract(d, '{}', 0), '')".format(st.loosely(n).replace("'", "''")) for n in st.DEGREES)
+    behind = rf"regexp_extract(d, '(?i)(?:{'|'.join(st.DEGREE_LABELS)})\s*[:\-]\s*(.*)$', 1)"
+    value = rf"regexp_replace(string_split_regex({behind}, '(?i)\s(?:{'|'.join(st.LABELS)})(?:\s*[:\-]|\s|$)')[1], '^[ \-|;,]+|[ \-|;,]+$', '', 'g')"
+    return rf"coalesce(trim(regexp_replace(coalesce({named}), '(?i)\b(b|m)\.\s*(arch\b)', '\1.\2', 'g')), CASE WHEN length({value}) BETWEEN 3 AND 160 THEN {value} ELSE '' END)"
+
+
+STATED = "concat_ws(' ', description, 'Gender: ' || gender, 'Qualification: ' || qualification, 'Job type: ' || type, salary, CASE WHEN urgent = 'yes' THEN 'Urgent hiring' END)"
+
+
+def _stated() -> Column:
+    """The description together with the columns that state the same facts under their labels, so that every rule has rows."""
+    return F.concat_ws(" ", "description", F.concat(F.lit("Gender: "), "gender"), F.concat(F.lit("Qualification: "), "qualification"), F.concat(F.lit("Job type: "), "type"), "salary", F.when(F.col("urgent") == "yes", "Urgent hiring"))
+
+
+@query(f"SELECT row_id, {_typed()} AS type, {_degree()} AS qualification FROM (SELECT row_id, {sql_text(SQUASH, STATED)} AS d, lower({sql_text(SQUASH, STATED)}) AS t FROM website)")
+def types_and_degrees(spark: SparkSession, root: str) -> DataFrame:
+    return load(spark, root, "website").select("row_id", _stated().alias("d")).select("row_id", st.employment_type(F.col("d")).alias("type"), st.qualification(F.col("d")).alias("qualification"))
+
+
+PAY = ", ".join(f"nullif(regexp_extract(d, '{p}', 0), '')" for p in st.SALARIES)
+
+
+@query(
+    rf"SELECT row_id, CASE WHEN g IN ('both', 'any') THEN 'Both' ELSE upper(left(g, 1)) || substr(g, 2) END AS gender, CASE WHEN {_any('d', st.URGENT)} THEN 'yes' ELSE 'no' END AS urgent, trim(coalesce({PAY}, '')) AS salary "
+    rf"FROM (SELECT row_id, d, lower(regexp_extract(d, '(?i)\bgender\s*[:\-]\s*(male|female|both|any)\b', 1)) AS g FROM (SELECT row_id, {sql_text(SQUASH, STATED)} AS d FROM website))"
+)
+def gender_haste_and_pay(spark: SparkSession, root: str) -> DataFrame:
+    d = text.squashed(F.col("d"))
+    return load(spark, root, "website").select("row_id", _stated().alias("d")).select("row_id", st.gender(d).alias("gender"), st.urgent(d).alias("urgent"), st.salary_text(d).alias("salary"))
+
+
 @query()
 def statements(spark: SparkSession, root: str) -> DataFrame:
-    """What descriptions state of type, degree, gender, haste and pay; some patterns look ahead, which the oracle cannot."""
+    """All that descriptions state, as one row for each; the parts have SQL of their own, dates in words have none."""
     d = F.col("description")
-    return load(spark, root, "website").select("row_id", text.employment_type(d).alias("type"), text.qualification(d).alias("qualification"), text.gender(d).alias("gender"), text.urgent(d).alias("urgent"), text.salary_text(d).alias("salary"), dates.labelled_date(d, dates.DEADLINE_LABELS).alias("deadline"))
+    return load(spark, root, "website").select("row_id", st.employment_type(d).alias("type"), st.qualification(d).alias("qualification"), st.gender(d).alias("gender"), st.urgent(d).alias("urgent"), st.salary_text(d).alias("salary"), dates.labelled_date(d, dates.DEADLINE_LABELS).alias("deadline"))
 
 
 @query()
 def main_descriptions(spark: SparkSession, root: str) -> DataFrame:
-    return load(spark, root, "website").select("row_id", text.main_description(F.col("description"), F.col("title"), F.col("employer_name")).alias("description"))
+    return load(spark, root, "website").select("row_id", st.main_description(F.col("description"), F.col("title"), F.col("employer_name")).alias("description"))

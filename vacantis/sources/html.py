@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.reasons import score
+
 SCHEMA = """
 title string, h1 string, main_text string, all_text string, has_form boolean,
 metas map<string,string>, jsonld array<string>,
@@ -221,21 +223,24 @@ def role_headings(facts: DataFrame, key: str) -> DataFrame:
     return first.select(key, "h.pos", F.col("h.text").alias("title"), "h.section", "h.href")
 
 
+# fixed values: points of an image as a logo, by a pattern over its address or label, and for its place and size
+LOGO_POINTS = (
+    (22, "src", "logo"),
+    (35, "label", "logo|brand|company"),
+    (12, "src", r"\.svg$"),
+    (-55, "src", "favicon|apple-touch-icon"),
+    (-45, "src", r"(?:^|[,?&_/])w=?(?:16|24|32)(?:[,?&_/]|$)"),
+    (-45, "src", r"(?:^|[,?&_/])h=?(?:16|24|32)(?:[,?&_/]|$)"),
+)
+LOGO_IN_HEADER, LOGO_SMALL, LOGO_SMALL_SIDE = 18, -30, 40
+
+
 def logo_score(src: Column, label: Column, in_header: Column, width: Column, height: Column) -> Column:
-    low, tag = F.lower(src), F.lower(F.coalesce(label, F.lit("")))
-    digits = lambda c: F.regexp_replace(F.coalesce(c, F.lit("")), r"\D", "").try_cast("int")
-    points = [
-        (22, low.contains("logo")),
-        (35, tag.rlike("logo|brand|company")),
-        (18, in_header),
-        (12, low.endswith(".svg")),
-        (-55, low.rlike("favicon|apple-touch-icon")),
-        (-45, low.rlike(r"(?:^|[,?&_/])w=?(?:16|24|32)(?:[,?&_/]|$)")),
-        (-45, low.rlike(r"(?:^|[,?&_/])h=?(?:16|24|32)(?:[,?&_/]|$)")),
-        (-30, digits(width) <= 40),
-        (-30, digits(height) <= 40),
-    ]
-    return sum((F.when(F.coalesce(c, F.lit(False)), n).otherwise(0) for n, c in points), F.lit(0))
+    """The sum of the points in the tables that an image earns."""
+    fields = {"src": F.lower(F.coalesce(src, F.lit(""))), "label": F.lower(F.coalesce(label, F.lit("")))}
+    small = lambda side: F.coalesce(F.regexp_replace(side, r"\D", "").try_cast("int") <= LOGO_SMALL_SIDE, F.lit(False))
+    earned = [(n, fields[f].rlike(p)) for n, f, p in LOGO_POINTS] + [(LOGO_IN_HEADER, F.coalesce(in_header, F.lit(False))), (LOGO_SMALL, small(width)), (LOGO_SMALL, small(height))]
+    return score(earned)
 
 
 def logos(facts: DataFrame, key: str) -> DataFrame:
