@@ -178,3 +178,19 @@ def main_description(value: Column, title: Column, company: Column) -> Column:
     late = F.filter(F.transform(F.array(*[F.lit(f) for f in FOOTERS]), lambda f: F.instr(F.upper(t), f) - 1), lambda p: p - begins >= FOOTER_FROM)
     ends = F.coalesce(F.array_min(late), F.length(t))
     return F.regexp_replace(F.trim(F.substring(t, begins + 1, ends - begins)), r"^[ \-|]+|[ \-|]+$", "")
+
+
+# fixed values: words of a title, and years of a description, that show a level; the first that fits
+SHOWN_LEVELS = (
+    ("Entry Level", "title", r"(junior|jr\.?|fresher|entry|intern|trainee|graduate)"),
+    ("Entry Level", "text", r"0\s*(?:-|to|–)\s*2\s*(?:years?|yrs?)"),
+    ("Senior Level", "title", r"(senior|sr\.?|lead|manager|head|principal|director)"),
+    ("Senior Level", "text", r"(5\+|6\+|7\+|8\+|9\+|10\+)\s*(?:years?|yrs?)"),
+)
+OTHER_LEVEL = "Mid Level"
+
+
+def shown_level(title: Column, description: Column) -> Column:
+    """A level for every vacancy, by SHOWN_LEVELS."""
+    cells = {"title": F.lower(squashed(title)), "text": F.lower(squashed(description))}
+    return F.coalesce(*[F.when(cells[c].rlike(p), F.lit(level)) for level, c, p in SHOWN_LEVELS], F.lit(OTHER_LEVEL))

@@ -190,3 +190,70 @@ def company_from_domain(url: Column, suffixes: Iterable[str] = ("architects", "a
     for s in suffixes:
         name = F.regexp_replace(name, rf"([a-z0-9]){s}$", rf"$1 {s}")
     return F.initcap(F.trim(name))
+
+
+# fixed values: parts of an address that lead to a login
+LOGIN_PARTS = ("/login", "/signin", "/sign-in", "/account/login", "/auth/login")
+# fixed values: path parts of pages of content, and of pages for careers
+CONTENT_PARTS = "article articles news blog blogs stories story transcript types guide guides learn education career-growth resources resource magazine project projects portfolio".split()
+CAREER_PARTS = "career careers jobs job join-us joinus work-with-us workwithus openings opening vacancies vacancy hiring apply current-openings opportunities".split()
+# fixed values: common paths of careers pages, and parts of an address that is one vacancy of a board
+CAREER_PROBES = ("/careers", "/career", "/jobs", "/join-us", "/work-with-us", "/opportunities", "/openings")
+JOB_PARTS = ("/job/", "/jobs/", "/jobdetails", "/job-detail", "/careers/", "/positions/", "/position/")
+# fixed values: words of a slug where a place begins, when no name of a place is given
+SLUG_PLACES = "mumbai delhi bangalore bengaluru hyderabad pune chennai noida gurugram gurgaon ahmedabad india".split()
+
+
+def login_gated(url: Column, parts: Iterable[str] = LOGIN_PARTS) -> Column:
+    """The address leads to a login."""
+    low = F.lower(_text(url))
+    return F.exists(F.array(*[F.lit(p.lower()) for p in parts]), lambda p: low.contains(p))
+
+
+def careerish(url: Column) -> Column:
+    """The path is one of careers or of a vacancy, and none of content."""
+    parts = F.filter(F.split(F.lower(path(url)), r"[/_.]+"), lambda p: p != "")
+    tail = F.replace(F.coalesce(F.try_element_at(parts, F.lit(-1)), F.lit("")), F.lit("-"), F.lit(""))
+    content = F.arrays_overlap(parts, F.array(*[F.lit(p) for p in CONTENT_PARTS])) | F.lower(path(url)).rlike("career-growth|architect/types")
+    own = F.arrays_overlap(parts, F.array(*[F.lit(p) for p in CAREER_PARTS])) | tail.isin(*[p.replace("-", "") for p in CAREER_PARTS])
+    below = F.lower(path(url)).rlike(r"/(?:jobs?|careers?|openings?|positions?|vacanc(?:y|ies))/[^/]+")
+    return (F.size(parts) > 0) & ~content & (own | below)
+
+
+def career_candidates(url: Column, anchors: Column, words: Iterable[str], most: int = 12) -> Column:
+    """Addresses where a firm's careers page may be, each once and in order: the page itself, links named so, then the common paths of its site.
+
+    ``anchors``: array of (href, text), absolute.
+    """
+    named = F.filter(anchors, lambda a: F.exists(F.array(*[F.lit(w) for w in words]), lambda w: F.lower(a["text"]).contains(w) | F.lower(a["href"]).contains(F.replace(w, F.lit(" "), F.lit("-")))))
+    links = F.transform(named, lambda a: canonical_url(a["href"]))
+    own = F.when(careerish(url), F.array(canonical_url(url))).otherwise(F.array().cast("array<string>"))
+    probes = F.array(*[F.concat(origin(url), F.lit(p)) for p in CAREER_PROBES])
+    return F.slice(F.filter(F.array_distinct(F.concat(own, links, probes)), lambda u: u.startswith("http")), 1, most)
+
+
+def urls_in_text(blob: Column) -> Column:
+    """Absolute addresses in a text of any kind, such as scripts, in order and each once; escaped slashes and encoded addresses are read as meant."""
+    flat = F.replace(F.replace(F.coalesce(blob, F.lit("")), F.lit("&amp;"), F.lit("&")), F.lit("\\/"), F.lit("/"))
+    plain = F.regexp_extract_all(flat, F.lit(r"(?i)https?://[^\s\"'<>\\)\]}]+"), F.lit(0))
+    encoded = F.transform(F.regexp_extract_all(flat, F.lit(r"(?i)https?%3A%2F%2F[^\s\"'<>\\)\]}&]+"), F.lit(0)), lambda u: F.coalesce(F.try_url_decode(u), u))
+    return F.array_distinct(F.transform(F.concat(plain, encoded), lambda u: canonical_url(F.regexp_replace(u, r"[.,;]+$", ""))))
+
+
+def slug_words(url: Column, places: Iterable[str] = SLUG_PLACES, most: int = 5) -> Column:
+    """(title, firm) from a slug that only runs on: its first words up to a place are the title, the next the firm."""
+    last = F.coalesce(F.try_element_at(path_parts(url), F.lit(-1)), F.lit(""))
+    slug = F.regexp_replace(F.regexp_replace(F.coalesce(F.try_url_decode(last), last), r"^job-listings-", ""), r"(?i)[-_](?:\d{4,}|[a-f0-9]{8,}).*$", "")
+    words = F.filter(F.split(slug, r"[-_]+"), lambda w: (w != "") & ~w.rlike(r"^\d+$"))
+    at = F.array_min(F.filter(F.transform(F.array(*[F.lit(p) for p in places]), lambda p: F.array_position(F.transform(words, F.lower), p)), lambda n: n > 0))
+    named = F.slice(words, F.lit(1), F.coalesce(at - 1, F.size(words)).cast("int"))
+    join = lambda a: F.initcap(F.array_join(a, " "))
+    return F.struct(join(F.slice(named, 1, most)).alias("title"), join(F.slice(named, most + 1, most)).alias("firm"))
+
+
+def identity_key(url: Column, title: Column, company: Column, place: Column, email: Column) -> Column:
+    """What tells a vacancy apart from all others: its number at LinkedIn, its address at a board, else what it says."""
+    u, said = clean_apply_url(url), F.concat_ws("|", *[F.lower(F.trim(F.coalesce(c, F.lit("")))) for c in (title, company, place, email)])
+    number, query = linkedin_job_id(u), F.lower(F.regexp_extract(u, r"\?([^#]*)", 1))
+    board = F.concat(F.lit("board:"), domain(u), F.lit(":"), F.regexp_replace(F.lower(path(u)), r"/+$", ""), F.lit(":"), query)
+    return F.when(under(domain(u), LINKEDIN) & (number != ""), F.concat(F.lit("linkedin:"), number)).when(under(domain(u), (*JOB_BOARDS, *LINKEDIN)), board).otherwise(F.concat(F.lit("text:"), F.sha1(said)))
