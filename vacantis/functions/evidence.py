@@ -53,22 +53,31 @@ def open_signal(text: Column, phrases: Iterable[str] = OPEN) -> Column:
 def live_evidence(description: Column, source_type: Column, source_url: Column, apply_url: Column, method: Column, experience: Column, skills: Column, deadline: Column, as_of: Column) -> Column:
     """(strong, reason, score): how well a vacancy without a date shows that it is one and live."""
     text, source, route = squashed(description), canonical_url(source_url), canonical_url(apply_url)
-    markers, generic, size = count_terms(text, MARKERS), is_generic_careers_url(source), F.length(text)
-    structured, has_route = contains_any(source_type, STRUCTURED), (route != "") | (squashed(method) != "")
-    said = (squashed(experience) != "") | (squashed(skills) != "")
-    found = {
-        "structured": structured, "own page": (source != "") & ~generic, "120 letters": size >= 120, "300 letters": size >= 300, "a marker": markers >= 1, "two markers": markers >= 2,
-        "experience": squashed(experience) != "", "skills": squashed(skills) != "", "form": method == "Public Form", "mail": method == "Email", "link": method == "Apply Link",
-        "other address": (route != "") & (source != "") & (route != source) & ~route.startswith("mailto:"), "open": open_signal(text),
-    }
-    points = score([(POINTS[k], c) for k, c in found.items()])
-    future = deadline >= as_of
-    weak = generic & (size < LEAST_LETTERS) & ~said & (markers == 0)
-    bare = generic & ~structured & ~((size >= LEAST_LETTERS) & ((markers >= 1) | said))
-    low = F.concat(F.lit("Insufficient current-vacancy evidence score "), points.cast("string"))
-    reason = F.when(~has_route, NO_ROUTE).when(F.coalesce(future, F.lit(False)), "").when(weak, HEADING_ONLY).when(bare, NO_DETAIL).when(points < LEAST_SCORE, low).otherwise("")
-    total = F.when(~has_route, 0).when(F.coalesce(future, F.lit(False)), 10).otherwise(points)
-    return F.struct((reason == "").alias("strong"), reason.alias("reason"), total.alias("score"))
+    # what is used more than once is computed once, as the fields of a struct that a lambda reads
+    base = F.struct(
+        F.length(text).alias("size"), count_terms(text, MARKERS).alias("markers"), is_generic_careers_url(source).alias("generic"), contains_any(source_type, STRUCTURED).alias("structured"),
+        ((route != "") | (squashed(method) != "")).alias("routed"), (squashed(experience) != "").alias("experience"), (squashed(skills) != "").alias("skills"), open_signal(text).alias("open"),
+        (source != "").alias("sourced"), ((route != "") & (source != "") & (route != source) & ~route.startswith("mailto:")).alias("other"), F.coalesce(method, F.lit("")).alias("method"), F.coalesce(deadline >= as_of, F.lit(False)).alias("future"),
+    )
+
+    def points(b: Column) -> Column:
+        found = {
+            "structured": b["structured"], "own page": b["sourced"] & ~b["generic"], "120 letters": b["size"] >= 120, "300 letters": b["size"] >= 300, "a marker": b["markers"] >= 1, "two markers": b["markers"] >= 2,
+            "experience": b["experience"], "skills": b["skills"], "form": b["method"] == "Public Form", "mail": b["method"] == "Email", "link": b["method"] == "Apply Link", "other address": b["other"], "open": b["open"],
+        }
+        return F.struct(b.alias("b"), score([(POINTS[k], c) for k, c in found.items()]).alias("points"))
+
+    def decided(p: Column) -> Column:
+        b = p["b"]
+        said = b["experience"] | b["skills"]
+        weak = b["generic"] & (b["size"] < LEAST_LETTERS) & ~said & (b["markers"] == 0)
+        bare = b["generic"] & ~b["structured"] & ~((b["size"] >= LEAST_LETTERS) & ((b["markers"] >= 1) | said))
+        low = F.concat(F.lit("Insufficient current-vacancy evidence score "), p["points"].cast("string"))
+        reason = F.when(~b["routed"], NO_ROUTE).when(b["future"], "").when(weak, HEADING_ONLY).when(bare, NO_DETAIL).when(p["points"] < LEAST_SCORE, low).otherwise("")
+        return F.struct(reason.alias("reason"), F.when(~b["routed"], 0).when(b["future"], 10).otherwise(p["points"]).alias("score"))
+
+    let = lambda value, f: F.get(F.transform(F.array(value), f), F.lit(0))
+    return let(let(let(base, points), decided), lambda r: F.struct((r["reason"] == "").alias("strong"), r["reason"].alias("reason"), r["score"].alias("score")))
 
 
 def freshness(posted: Column, deadline: Column, page_text: Column, evidence: Column, cutoff: Column, as_of: Column) -> Column:

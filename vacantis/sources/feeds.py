@@ -34,7 +34,9 @@ def lever_jobs(feeds: DataFrame, board: str, body: str) -> DataFrame:
 
 def greenhouse_jobs(feeds: DataFrame, board: str, body: str) -> DataFrame:
     j = feeds.select(F.col(board).alias("board"), F.posexplode(F.from_json(body, GREENHOUSE)["jobs"]).alias("pos", "j"))
-    unescaped = F.replace(F.replace(F.replace(F.col("j.content"), F.lit("&lt;"), F.lit("<")), F.lit("&gt;"), F.lit(">")), F.lit("&quot;"), F.lit('"'))
+    unescaped = F.col("j.content")  # the content is HTML escaped once more
+    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")):
+        unescaped = F.replace(unescaped, F.lit(entity), F.lit(char))
     return j.select("board", "pos", _filled(F.col("j.title")).alias("title"), _filled(F.col("j.location.name")).alias("location"), without_tags(unescaped).alias("description"), F.lit("").alias("job_type"), F.col("j.updated_at").alias("posted"), _filled(F.col("j.absolute_url")).alias("apply_url"), _filled(F.col("j.absolute_url")).alias("source_url"), F.lit("Greenhouse API").alias("source_type"))
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import contacts, dates, statements, text, titles, urls
 from ..operators.keyed import cap, first_wins
 from ..operators.reasons import first_reason
+from ..session import materialize
 from . import feeds, html
 
 JOB = ["page", "pos", "title", "company", "location", "job_type", "experience", "salary", "skills", "description", "posted", "deadline", "apply_url", "method", "email", "phone", "source_type", "source_url", "website", "logo_url"]
@@ -116,9 +117,9 @@ def scan(sources: DataFrame, facts: DataFrame, cities: dict[str, str], blocked:
     asked = sources.select("source", urls.canonical_url(u).alias("url")).withColumn("refused", F.when(urls.blocked_reason(u, blocked) != "", urls.blocked_reason(u, blocked)).otherwise(refused))
     pages = facts.withColumn("url", urls.canonical_url(u))
     live = asked.where("refused = ''").select("source", "url")
-    own = pages.join(live.select("url").distinct(), "url", "left_semi")
+    own = materialize(pages.join(live.select("url").distinct(), "url", "left_semi"), "own")  # parsed once, read often
     links = cap(first_wins(html.job_links(own, "url", roles, blocked), ["url", "link"], [F.col("pos")]).where("link <> url"), ["url"], [F.col("pos")], most_links).select("url", "link")
-    detail = pages.join(links.select(F.col("link").alias("url")).distinct(), "url", "left_semi").join(own.select("url"), "url", "left_anti")
+    detail = materialize(pages.join(links.select(F.col("link").alias("url")).distinct(), "url", "left_semi").join(own.select("url"), "url", "left_anti"), "detail")
     here = structured_jobs(own).unionByName(inline_jobs(own, cities, roles)).withColumn("root", F.col("page"))
     there = jobs_of_pages(detail, cities).join(links.select(F.col("link").alias("page"), F.col("url").alias("root")), "page").select(*JOB, "root")
     jobs = here.unionByName(there).join(live.select("source", F.col("url").alias("root")), "root").drop("root").select("source", *JOB)
