@@ -221,7 +221,8 @@ def map_values(df: DataFrame, row: str, column: str, entries: DataFrame, entry:
     forms = entries.select(F.expr(canonical).alias("value")).where("value is not null").distinct()
     values = df.select(F.col(row).alias("row"), F.col(column).alias("value")).where(F.col("value").rlike(r"\S"))
     values = values.join(F.broadcast(forms), "value", "left_anti")
-    # a number of parts of our own: distinct values are few bytes but much work, and would else be put into one task
+    # a number of parts of our own: distinct values are few bytes but much work, and would else be put
+    # into one task; by a hash of the value, as by the value itself the shuffle of distinct would be taken for this one
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    judged = values.select("value").distinct().repartition(parts, "value").mapInPandas(match, "value string, entry_id string, score double")
+    judged = values.select("value").distinct().repartition(parts, F.xxhash64("value")).mapInPandas(match, "value string, entry_id string, score double")
     return values.join(judged, "value").select("row", "value", "entry_id", "score")
