@@ -183,7 +183,11 @@ def source_id(url: Column) -> Column:
     return F.concat(F.lit("SRC-"), F.upper(F.substring(F.sha1(F.lower(canonical_url(url))), 1, 12)))
 
 
-def company_from_domain(url: Column, suffixes: Iterable[str] = ("architects", "architecture", "interiors", "associates", "consultants", "designs", "design", "studio", "planners", "landscape", "engineers", "builders", "group", "works", "india", "labs", "atelier")) -> Column:
+# fixed values: words that end the first label of a firm's host
+NAME_PARTS = ("architects", "architecture", "interiors", "associates", "consultants", "designs", "design", "studio", "planners", "landscape", "engineers", "builders", "group", "works", "india", "labs", "atelier")
+
+
+def company_from_domain(url: Column, suffixes: Iterable[str] = NAME_PARTS) -> Column:
     """A display name from the first label of a host: known words are split off and every word is capitalised."""
     label = F.regexp_extract(F.regexp_replace(domain(url), r"^(?:www|careers|jobs)\.", ""), r"^([^.]*)", 1)
     name = F.regexp_replace(label, r"[-_]+", " ")

@@ -75,7 +75,18 @@ def clean_apply_urls(spark: SparkSession, root: str) -> DataFrame:
     return load(spark, root, "website").where("apply_url is not null").select("row_id", urls.clean_apply_url(F.col("apply_url")).alias("apply_url"))
 
 
-@query()
+def _suffixed(name: str, suffixes: tuple[str, ...]) -> str:
+    for x in suffixes:
+        name = f"regexp_replace({name}, '([a-z0-9]){x}$', '\\1 {x}')"
+    return name
+
+
+LABEL = r"regexp_replace(regexp_extract(regexp_replace({d}, '^(?:www|careers|jobs)\.', ''), '^([^.]*)', 1), '[-_]+', ' ', 'g')"
+CAPITALS = "array_to_string(list_transform(string_split({c}, ' '), lambda w: upper(left(w, 1)) || lower(substr(w, 2))), ' ')"
+
+
+@query(f"SELECT source_id, '' AS provider, '' AS identifier, {CANON.format(c='career_url')} AS board, {CAPITALS.format(c='trim(' + _suffixed(LABEL.format(d=DOMAIN.format(c='career_url')), urls.NAME_PARTS) + ')')} AS company FROM sources")
 def boards_of_sources(spark: SparkSession, root: str) -> DataFrame:
+    """No source of the table keeps a board, so each stays its own; ``board_addresses`` has one of every system."""
     u = F.col("career_url")
     return load(spark, root, "sources").select("source_id", urls.ats_provider(u).alias("provider"), urls.ats_identifier(u).alias("identifier"), urls.ats_board_root(u).alias("board"), urls.company_from_domain(u).alias("company"))

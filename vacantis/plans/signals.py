@@ -10,8 +10,9 @@ from ..functions.standins import STAND_INS, says_nothing
 from ..operators import keyed
 from ..operators.reasons import first_reason, score
 from ..session import load
-from .addresses import CANON, DOMAIN
+from .addresses import CANON, DOMAIN, PATH
 from .registry import query
+from .texts import SQUASH, sql_text
 
 ROLES = ("Architect", "Junior Architect", "Senior Architect", "Project Architect", "Interior Fit-Out Designer", "Landscape Designer", "BIM Modeller", "BIM Coordinator", "Town Planner", "Structural Engineer", "MEP Engineer", "Quantity Surveyor", "3D Visualiser")
 _ORDERED = sorted(ROLES, key=lambda r: -len(r))
@@ -29,9 +30,42 @@ def signal_recency(spark: SparkSession, root: str) -> DataFrame:
     return load(spark, root, "candidates").select("candidate_id", titles.is_recent(F.concat_ws(" ", F.coalesce("signal_title", F.lit("")), F.coalesce("signal_snippet", F.lit("")))).alias("recent"))
 
 
-@query()
+SITE_NAMES = "|".join(x.replace(".", r"\.") for x in titles.SITES)
+BARE_TITLE = rf"trim(regexp_replace({sql_text(SQUASH, 'signal_title')}, '(?i)\s*[-|–—]\s*(?:{SITE_NAMES}).*$', ''))"
+
+
+def _headline(part: str, otherwise: str) -> str:
+    return "CASE " + " ".join(f"WHEN regexp_matches(t, '{titles.template_pattern(f'^{h}$', 'role')}') THEN regexp_extract(t, '{titles.template_pattern(f'^{h}$', part)}', 1)" for h in titles.HEADLINES) + f" ELSE {otherwise} END"
+
+
+def _beside(template: str) -> str:
+    before, after = titles.template_pattern(template, "firm", role="@").split("(?:@)")
+    return f"nullif(regexp_extract(t, '{before}' || regexp_escape(r) || '{after}', 1), '')"
+
+
+BESIDE = r"regexp_replace(regexp_replace(coalesce(" + ", ".join(_beside(x) for x in titles.BESIDE_ROLE) + r", ''), '(?i)\s+(?:jobs?|careers?|india|linkedin)$', ''), '^[ \-|]+|[ \-|]+$', '', 'g')"
+SLUG = rf"regexp_replace(url_decode(coalesce(nullif(regexp_extract({PATH.format(c='signal_url')}, '(?i)/jobs/view/([^/?#]+)', 1), ''), list_filter(string_split({PATH.format(c='signal_url')}, '/'), lambda x: x <> '')[-1], '')), '(?i)[-_](?:\d{{7,}}|[a-f0-9]{{8,}}).*$', '')"
+WORDY = "array_to_string(list_transform(string_split(replace({c}, '-', ' '), ' '), lambda w: upper(left(w, 1)) || lower(substr(w, 2))), ' ')"
+SOFT = "CASE WHEN {c} = lower({c}) OR contains({c}, '-') THEN " + WORDY + " ELSE {c} END"
+
+
+def _soft(c: str) -> str:
+    out = SOFT.format(c=f"trim(regexp_replace({c}, '[\\s\\x{{00a0}}]+', ' ', 'g'))")
+    for p, r in ((r"\bBim\b", "BIM"), (r"\bCad\b", "CAD"), (r"\bAutocad\b", "AutoCAD"), (r"\bLlp\b", "LLP")):
+        out = f"regexp_replace({out}, '{p}', '{r}', 'g')"
+    return f"trim(regexp_replace({out}, '[\\s\\x{{00a0}}]+', ' ', 'g'))"
+
+
+PARTS = r"list_filter(list_transform(string_split_regex(full_title, '\s+[-–—|]\s+'), lambda p: trim(regexp_replace(p, '(?i)\b(?:India|LinkedIn|Naukri|Indeed|Jobs?)\b', '', 'g'))), lambda p: length(p) >= 3 AND lower(p) NOT IN ('linkedin', 'jobs', 'job', 'naukri', 'indeed', 'glassdoor'))"
+
+
+@query(
+    f"SELECT candidate_id, {_headline('role', 't')} AS title, {_headline('firm', repr(''))} AS firm, {_soft('CASE WHEN two THEN regexp_extract(slug, ' + repr('^(.*?)-at-') + ', 1) ELSE slug END')} AS slug_title, CASE WHEN two THEN {_soft('regexp_extract(slug, ' + repr('-at-(.*)$') + ', 1)')} ELSE '' END AS slug_firm, "
+    f"CASE WHEN r <> '' AND length({BESIDE}) BETWEEN 2 AND 120 THEN {BESIDE} ELSE '' END AS firm_beside_role, coalesce({PARTS}[-1], '') AS last_part "
+    f"FROM (SELECT *, contains(slug, '-at-') AS two FROM (SELECT candidate_id, {BARE_TITLE} AS t, {sql_text(SQUASH, 'role')} AS r, {sql_text(SQUASH, 'signal_title')} AS full_title, {SLUG} AS slug FROM candidates))"
+)
 def signal_parts(spark: SparkSession, root: str) -> DataFrame:
-    """Role and firm by the shapes of titles and slugs; the patterns hold the row's own role, which the oracle cannot quote."""
+    """Role and firm by the shapes of titles and slugs."""
     c = load(spark, root, "candidates")
     pair, slug = titles.title_and_firm(F.col("signal_title")), titles.slug_title_firm(F.col("signal_url"))
     return c.select("candidate_id", pair.alias("p"), slug.alias("s"), titles.firm_of_role(F.col("signal_title"), F.col("role")).alias("firm_beside_role"), titles.last_part(F.col("signal_title")).alias("last_part")).select(

@@ -9,7 +9,7 @@ from ..functions import dates, statements, text, urls
 from ..functions.contacts import email_rank
 from ..operators import history, keyed
 from ..session import load
-from .addresses import CANON
+from .addresses import CANON, PATH
 from .registry import query
 from .texts import KEY
 
@@ -43,9 +43,24 @@ def publish_last_wins(spark: SparkSession, root: str) -> DataFrame:
     return keyed.last_wins(layers, ["natural_key"], "row_id").select("natural_key", "row_id", "layer", "first_layer")
 
 
-@query()
+FOLDED = ("experience", "tag", "application_deadline_date", "logo_url", "apply_email", "salary", "phone", "apply_url", "address")
+RANK = "CASE WHEN regexp_matches(l, 'career|jobs|recruit|talent|hiring') THEN 0 WHEN l IN ('hr', 'humanresources', 'human.resources') OR l LIKE 'hr.%' OR l LIKE 'hr-%' THEN 1 WHEN regexp_matches(l, 'people|team') THEN 2 WHEN regexp_matches(l, 'hello|contact|info|office') THEN 5 WHEN regexp_matches(l, 'press|media|exec|admin') THEN 9 ELSE 6 END"
+WORTH = {"experience": "3", "tag": "2", "application_deadline_date": "3", "logo_url": "CASE WHEN contains(lower(logo_url), 'logo') THEN 3 ELSE 0 END", "apply_email": f"greatest(0, 4 - ({RANK}))"}
+BASE = f"(CASE WHEN len(list_filter(string_split({PATH.format(c='apply_url')}, '/'), lambda x: x <> '')) > 1 THEN 8 ELSE 0 END + least(floor(length(coalesce(description, '')) / 350), 5))::DOUBLE"
+VALS = "[" + ", ".join(f"nullif({c}, '')" for c in FOLDED) + "]"
+WORTHS = "[" + ", ".join(f"CASE WHEN coalesce({c}, '') <> '' THEN ({WORTH.get(c, '0')})::DOUBLE ELSE 0.0 END" for c in FOLDED) + "]"
+PICK = "list_transform(range(1, 10), lambda i: CASE WHEN r.total > s.base + list_sum(s.worths) THEN (CASE WHEN r.vals[i] IS NOT NULL THEN r.{x}[i] ELSE s.{x}[i] END) ELSE (CASE WHEN s.vals[i] IS NOT NULL THEN s.{x}[i] ELSE r.{x}[i] END) END)"
+LEADS = "CASE WHEN r.total > s.base + list_sum(s.worths) THEN r.{x} ELSE s.{x} END AS {x}"
+
+
+@query(
+    f"WITH RECURSIVE w AS (SELECT *, {KEY} AS natural_key, lower(split_part(coalesce(apply_email, ''), '@', 1)) AS l FROM website), "
+    f"r AS (SELECT natural_key, row_id, row_number() OVER (PARTITION BY natural_key ORDER BY row_id) AS n, {BASE} AS base, {VALS} AS vals, {WORTHS} AS worths, {BASE} + list_sum({WORTHS}) AS total FROM w WHERE natural_key <> '||'), "
+    f"s AS (SELECT natural_key, n, row_id, base, vals, worths FROM r WHERE n = 1 UNION ALL SELECT s.natural_key, r.n, {LEADS.format(x='row_id')}, {LEADS.format(x='base')}, {PICK.format(x='vals')} AS vals, {PICK.format(x='worths')} AS worths FROM s JOIN r ON r.natural_key = s.natural_key AND r.n = s.n + 1) "
+    + "SELECT natural_key, row_id AS leader, base + list_sum(worths) AS score, " + ", ".join(f"vals[{i}] AS {c}" for i, c in enumerate(FOLDED, 1)) + " FROM (SELECT *, max(n) OVER (PARTITION BY natural_key) AS last FROM s) WHERE n = last"
+)
 def dedupe_fold(spark: SparkSession, root: str) -> DataFrame:
-    """Rows of one natural key folded into one; a fold in order has no plain SQL, the tests hold it against a loop."""
+    """Rows of one natural key folded into one, in order; the SQL folds them row by row."""
     rows = _keyed(spark, root)
     base = F.when(F.size(urls.path_parts(F.col("apply_url"))) > 1, 8).otherwise(0) + F.least(F.floor(F.length(F.coalesce("description", F.lit(""))) / 350), F.lit(5))
     fields = {"experience": F.lit(3), "tag": F.lit(2), "application_deadline_date": F.lit(3), "logo_url": F.when(F.lower("logo_url").contains("logo"), 3).otherwise(0), "apply_email": F.greatest(F.lit(0), 4 - email_rank(F.col("apply_email"))), "salary": F.lit(0), "phone": F.lit(0), "apply_url": F.lit(0), "address": F.lit(0)}
