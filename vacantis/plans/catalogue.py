@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import addresses, discovery, pages, reports, signals, tables, texts  # noqa: F401 - each registers its queries
+from . import addresses, discovery, pages, reports, signals, tables, texts, upkeep  # noqa: F401 - each registers its queries
 from .registry import QUERIES, SQL, Query
 
 FLAGSHIP = "website_publishable"

@@ -16,13 +16,14 @@ from ..functions import urls
 SCHEMA = "url string, final_url string, status int, body string, error string"
 
 
-def fetch_pages(addresses: DataFrame, url: str, blocked: tuple[str, ...] = (), timeout: float = 10.0, delay: float = 0.05, agent: str = "vacantis", most_bytes: int = 20_000_000) -> DataFrame:
-    """(url, final_url, status, body, error) of every address of HTTP. Blocked hosts are not asked, and a page that redirects to one has no body.
+def fetch_pages(addresses: DataFrame, url: str, blocked: tuple[str, ...] = (), login_parts: tuple[str, ...] = urls.LOGIN_PARTS, timeout: float = 10.0, delay: float = 0.05, agent: str = "vacantis", most_bytes: int = 20_000_000) -> DataFrame:
+    """(url, final_url, status, body, error) of every address of HTTP. Blocked hosts and logins are not asked, and a page that redirects to one has no body.
 
     A page that cannot be read has its error instead of stopping the task; each address is asked once a run of its task.
     """
     asked = addresses.select(F.col(url).alias("url")).where(F.col("url").rlike(r"(?i)^https?://")).distinct()
-    asked = asked.where(urls.blocked_reason(F.col("url"), blocked) == "")
+    refused = lambda c: F.when(urls.login_gated(F.col(c), login_parts), "login page").otherwise(urls.blocked_reason(F.col(c), blocked))
+    asked = asked.where(refused("url") == "")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -30,7 +31,10 @@ def fetch_pages(addresses: DataFrame, url: str, blocked: tuple[str, ...] = (), t
             for u in b["url"]:
                 try:
                     with urllib.request.urlopen(urllib.request.Request(u, headers={"User-Agent": agent}), timeout=timeout) as r:  # noqa: S310 - only http addresses come here
-                        raw = r.read(most_bytes)
+                        raw = r.read(most_bytes + 1)
+                        if len(raw) > most_bytes:  # a page is taken whole or not at all
+                            rows.append((u, r.geturl(), r.status, None, f"more than {most_bytes} bytes"))
+                            continue
                         rows.append((u, r.geturl(), r.status, raw.decode(r.headers.get_content_charset() or "utf-8", "replace"), None))
                 except urllib.error.HTTPError as e:
                     rows.append((u, e.geturl(), e.code, None, f"status {e.code}"))
@@ -40,5 +44,5 @@ def fetch_pages(addresses: DataFrame, url: str, blocked: tuple[str, ...] = (), t
             yield pd.DataFrame(rows, columns=["url", "final_url", "status", "body", "error"]).astype({"status": "Int32"})
 
     got = asked.mapInPandas(run, SCHEMA)
-    reason = urls.blocked_reason(F.col("final_url"), blocked)
+    reason = F.coalesce(refused("final_url"), F.lit(""))
     return got.select("url", "final_url", "status", F.when(reason == "", F.col("body")).alias("body"), F.coalesce("error", F.nullif(reason, F.lit(""))).alias("error"))

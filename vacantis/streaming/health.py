@@ -22,11 +22,13 @@ def health_status(open_failures: int, rejected: bool = False) -> str:
 
 def _advance(key: tuple[Any, ...], batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     checks, failures, last, success = state.get if state.exists else (0, 0, None, None)
-    rows = pd.concat(list(batches)).sort_values("ts", kind="stable")
-    for at, ok in zip(rows["ts"], rows["ok"], strict=True):
-        checks, last = checks + 1, at.to_pydatetime()
-        failures = 0 if ok else failures + 1
-        success = last if ok else success
+    rows = pd.concat(list(batches)).sort_values("ts", kind="stable", ignore_index=True)
+    good = rows.index[rows["ok"].to_numpy(bool)]
+    checks, last = checks + len(rows), rows["ts"].iloc[-1].to_pydatetime()
+    if len(good):
+        success, failures = rows["ts"].iloc[good[-1]].to_pydatetime(), len(rows) - 1 - int(good[-1])
+    else:
+        failures += len(rows)
     state.update((checks, failures, last, success))
     yield pd.DataFrame({"source": [key[0]], "checks": [checks], "open_failures": [failures], "status": [health_status(failures)], "last_check": pd.to_datetime([last]), "last_success": pd.to_datetime([success])})
 
