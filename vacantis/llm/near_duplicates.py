@@ -28,8 +28,9 @@ from ..functions import tokens
 from ..session import materialize
 
 WIDE, NARROW = 1024, 256
-#: A block of more rows than this is cut into tiles of about TILE rows, by population count and then by hash.
-HOT, TILE = 2000, 1000
+#: A block of more rows than this is cut into tiles of about TILE rows, by population count and then by hash; a row goes to
+#: as many pairs of tiles as its block has tiles within the radius, so larger tiles are sent less often.
+HOT, TILE = 8000, 4000
 COUNT_STEP = 16
 #: With more bits than this set in the wide bitmap, so few are left that their number no longer bounds the union.
 FULL = WIDE - WIDE // 16
