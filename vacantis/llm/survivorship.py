@@ -22,8 +22,8 @@ from ..operators.components import connected_components
 from ..session import materialize
 from . import encoding, residue
 
-# fixed values: short forms that end a firm's name as a whole word
-WHOLE_WORDS = "ltd pvt llp inc co corp assoc assocs collab archs intr plng dsgn engg".split()
+# fixed values: legal forms that end a firm's name as a whole word; short forms of trades are told by their counts
+WHOLE_WORDS = "ltd pvt llp inc co corp".split()
 
 
 def id_key(value: Column) -> Column:
@@ -68,8 +68,9 @@ def cut_short(values: DataFrame, known: DataFrame | None = None) -> DataFrame:
     words = v.select("field", "n", F.explode(F.array_distinct(F.regexp_extract_all("low", F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))).alias("word"))
     common = words.groupBy("field", "word").agg(F.sum("n").alias("n"))
     begun = common.where(F.length("word") > 1).select("field", "n", F.expr("explode(transform(sequence(1, length(word) - 1), i -> struct(substring(word, 1, i) as last, substring(word, i + 1) as rest)))").alias("x"))
-    begun = begun.select("field", "x.last", F.when(F.col("x.rest") == "s", 0).otherwise(F.col("n")).alias("n"), (F.col("x.rest") == "s").alias("plural"))
-    begun = begun.groupBy("field", "last").agg(F.max("n").alias("more"), F.max("plural").alias("plural"))
+    # a word is the singular of another only if that plural is what it goes on to most often
+    begun = begun.select("field", "x.last", F.when(F.col("x.rest") == "s", 0).otherwise(F.col("n")).alias("n"), F.struct("n", (F.col("x.rest") == "s").alias("plural")).alias("top"))
+    begun = begun.groupBy("field", "last").agg(F.max("n").alias("more"), F.max("top")["plural"].alias("plural"))
     compared = common.withColumnRenamed("word", "last").join(begun, ["field", "last"]).where("last rlike '^\\\\p{L}+$' and not (plural and length(last) >= 5) and n < more")
 
     forms = v.groupBy("field", "low").agg(F.sum("n").alias("n"))
