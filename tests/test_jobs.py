@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from vacantis.functions import evidence, repair, statements, urls
+from vacantis.functions import evidence, repair, statements, text, urls
 from vacantis.sources import cards, html, jobs
 
 CITIES = {"pune": "Maharashtra", "goa": "Goa"}
@@ -88,3 +88,9 @@ def test_addresses(spark):
     anchors = spark.createDataFrame([("https://a.example/about", [("https://a.example/team", "Work with us"), ("https://a.example/p", "Projects")])], "u string, a array<struct<href:string,text:string>>")
     assert anchors.select(urls.career_candidates(u, F.col("a"), ("work with us",), 3)).first()[0] == ["https://a.example/team", "https://a.example/careers", "https://a.example/career"]
     assert [one(spark, statements.shown_level(F.col("t"), F.col("d")), t=t, d=d) for t, d in (("Jr. Architect", ""), ("Architect", "0 - 2 years"), ("Lead", ""), ("Architect", "8+ yrs"), (None, None))] == ["Entry Level", "Entry Level", "Senior Level", "Senior Level", "Mid Level"]
+
+
+def test_cleaned(spark):
+    for dirty, clean in (("<p>CafÃ© &amp; bar&nbsp;&ndash; 5&euro;</p>", "Café & bar – 5€"), ("a  b", "a b"), (None, ""), ("", ""), ("x &lt; y", "x < y")):
+        assert one(spark, text.cleaned(F.col("t")), t=dirty) == clean
+    assert spark.createDataFrame([(["<b>A</b>", "", None, "B "],)], "v array<string>").select(text.cleaned_list(F.col("v"))).first()[0] == "A, B"

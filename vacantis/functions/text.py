@@ -39,6 +39,25 @@ def without_tags(value: Column) -> Column:
     return squashed(t)
 
 
+# fixed values: further entities of HTML that stand in feeds and snippets
+ENTITIES = {"&apos;": "'", "&ndash;": "–", "&mdash;": "—", "&hellip;": "…", "&rsquo;": "’", "&lsquo;": "‘", "&ldquo;": "“", "&rdquo;": "”", "&bull;": "•", "&middot;": "·", "&copy;": "©", "&reg;": "®", "&euro;": "€", "&pound;": "£", "&eacute;": "é"}
+
+
+def cleaned(value: Column) -> Column:
+    """Text of a fragment as it was meant: a wrong encoding is repaired, tags go, entities become their characters, blanks are squashed; null becomes empty."""
+    from .repair import repaired
+
+    t = repaired(F.coalesce(value, F.lit("")))
+    for entity, char in ENTITIES.items():
+        t = F.replace(t, F.lit(entity), F.lit(char))
+    return repaired(without_tags(t))
+
+
+def cleaned_list(values: Column) -> Column:
+    """The cleaned texts of an array, joined by commas; empty ones are left out."""
+    return F.array_join(F.filter(F.transform(values, cleaned), lambda t: t != ""), ", ")
+
+
 def contains_any(value: Column, terms: Iterable[str]) -> Column:
     """The lower-cased value contains one of the terms."""
     out = F.lit(False)
