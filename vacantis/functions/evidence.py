@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators.reasons import first_reason, score
 from .text import contains_any, count_terms, squashed
-from .urls import canonical_url, is_generic_careers_url
+from .urls import canonical_url, is_generic_careers_url, let
 
 # fixed values: phrases of a page whose vacancy is closed, and of one that is open
 CLOSED = (
@@ -76,7 +76,6 @@ def live_evidence(description: Column, source_type: Column, source_url: Column,
         reason = F.when(~b["routed"], NO_ROUTE).when(b["future"], "").when(weak, HEADING_ONLY).when(bare, NO_DETAIL).when(p["points"] < LEAST_SCORE, low).otherwise("")
         return F.struct(reason.alias("reason"), F.when(~b["routed"], 0).when(b["future"], 10).otherwise(p["points"]).alias("score"))
 
-    let = lambda value, f: F.get(F.transform(F.array(value), f), F.lit(0))
     return let(let(let(base, points), decided), lambda r: F.struct((r["reason"] == "").alias("strong"), r["reason"].alias("reason"), r["score"].alias("score")))
 
 

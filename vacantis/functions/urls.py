@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -65,6 +65,11 @@ JOB_BOARDS = ("indeed.com", "naukri.com", "foundit.in", "glassdoor.com", "glassd
 LINKEDIN = ("linkedin.com",)
 
 
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is computed once, however often it is used: as a column it would be repeated at each place."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def _text(url: Column) -> Column:
     return F.coalesce(F.trim(url), F.lit(""))
 
@@ -111,16 +116,20 @@ def host_aliases(host: Column) -> Column:
 
 def blocked_reason(url: Column, blocked: Iterable[str]) -> Column:
     """Why a host is blocked, or empty: it lies under a listed name, or a content network mirrors one."""
-    host, names = domain(url), sorted(blocked)
-    direct = F.coalesce(*[F.when(under(host, [n]), F.lit(f"blocked domain: {n}")) for n in names], F.lit(""))
-    mirrored = F.coalesce(*[F.when(F.exists(host_aliases(host), lambda a: a.contains(n)), F.lit(f"mirror of: {n}")) for n in names], F.lit("")) if names else F.lit("")  # noqa: B023
-    return F.when(direct != "", direct).when(under(host, MIRRORS), mirrored).otherwise("")
+    names = sorted(blocked)
+
+    def reason(host: Column) -> Column:
+        direct = [F.when(under(host, [n]), F.lit(f"blocked domain: {n}")) for n in names]
+        mirrored = [F.when(under(host, MIRRORS) & F.exists(host_aliases(host), lambda a: a.contains(n)), F.lit(f"mirror of: {n}")) for n in names]  # noqa: B023
+        return F.coalesce(*direct, *mirrored, F.lit(""))
+
+    return let(domain(url), reason)
 
 
 def unwrap_redirect(url: Column) -> Column:
     """The target inside a search engine's redirect, or the address itself; canonical either way."""
-    found = [F.when(query_value(url, k).startswith("http"), query_value(url, k)) for k in REDIRECT_KEYS]
-    return canonical_url(F.coalesce(*found, url))
+    found = F.filter(F.array(*[query_value(url, k) for k in REDIRECT_KEYS]), lambda v: v.startswith("http"))
+    return canonical_url(F.coalesce(F.get(found, F.lit(0)), url))
 
 
 def linkedin_job_id(url: Column) -> Column:
@@ -145,33 +154,44 @@ def clean_apply_url(url: Column) -> Column:
 
 
 def ats_provider(url: Column) -> Column:
-    host = domain(url)
-    return F.coalesce(*[F.when(under(host, hosts), F.lit(name)) for name, hosts in ATS_HOSTS.items()], F.lit(""))
+    return let(domain(url), lambda host: F.coalesce(*[F.when(under(host, hosts), F.lit(name)) for name, hosts in ATS_HOSTS.items()], F.lit("")))
 
 
-def ats_identifier(url: Column) -> Column:
-    """The board's identifier, from the place that ATS_IDENTIFIERS gives for its system; empty where there is none."""
-    host, provider = domain(url), ats_provider(url)
-    label = F.regexp_extract(host, r"^([^.]*)", 1)
+def _board(url: Column) -> Column:
+    first = F.coalesce(F.get(path_parts(url), F.lit(0)), F.lit(""))
+    return F.struct(domain(url).alias("host"), first.alias("first"), ats_provider(url).alias("provider"), canonical_url(url).alias("url"))
+
+
+def _identifier(b: Column) -> Column:
+    label = F.regexp_extract(b["host"], r"^([^.]*)", 1)
     at = {
-        "path": F.coalesce(F.get(path_parts(url), F.lit(0)), F.lit("")),
+        "path": b["first"],
         "label": F.when(label.isin(*COMMON_LABELS), "").otherwise(label),
-        "host": host,
-        "tenant": F.regexp_replace(host, r"\.[^.]+\.com$", ""),
+        "host": b["host"],
+        "tenant": F.regexp_replace(b["host"], r"\.[^.]+\.com$", ""),
     }
     rules: dict[tuple[str, ...], list[str]] = {}
     for name, places in ATS_IDENTIFIERS.items():
         rules.setdefault(places, []).append(name)
-    return F.coalesce(*[F.when(provider.isin(*names), F.coalesce(*[F.nullif(at[p], F.lit("")) for p in places], F.lit(""))) for places, names in rules.items()], F.lit(""))
+    return F.coalesce(*[F.when(b["provider"].isin(*names), F.coalesce(*[F.nullif(at[p], F.lit("")) for p in places], F.lit(""))) for places, names in rules.items()], F.lit(""))
+
+
+def ats_identifier(url: Column) -> Column:
+    """The board's identifier, from the place that ATS_IDENTIFIERS gives for its system; empty where there is none."""
+    return let(_board(url), _identifier)
 
 
 def ats_board_root(url: Column) -> Column:
     """One address for all pages of a board, from the forms in HOST_BOARDS and ATS_BOARDS; else the address itself."""
-    host, provider, ident = domain(url), ats_provider(url), ats_identifier(url)
-    fill = lambda form: F.replace(F.replace(F.lit(form), F.lit("{id}"), ident), F.lit("{host}"), host)
-    own = [F.when((host == h) & (ident != ""), fill(form)) for h, form in HOST_BOARDS.items()]
-    known = [F.when((provider == p) & (ident != ""), fill(form)) for p, form in ATS_BOARDS.items()]
-    return F.coalesce(*own, *known, canonical_url(url))
+
+    def root(p: Column) -> Column:
+        b, ident = p["b"], p["ident"]
+        fill = lambda form: F.replace(F.replace(F.lit(form), F.lit("{id}"), ident), F.lit("{host}"), b["host"])
+        own = [F.when((b["host"] == h) & (ident != ""), fill(form)) for h, form in HOST_BOARDS.items()]
+        known = [F.when((b["provider"] == name) & (ident != ""), fill(form)) for name, form in ATS_BOARDS.items()]
+        return F.coalesce(*own, *known, b["url"])
+
+    return let(let(_board(url), lambda b: F.struct(b.alias("b"), _identifier(b).alias("ident"))), root)
 
 
 def is_generic_careers_url(url: Column) -> Column:
