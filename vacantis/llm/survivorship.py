@@ -22,6 +22,8 @@ from ..operators.components import connected_components
 from ..session import materialize
 from . import encoding, residue
 
+#: The share of the steps between two values that must go one way for one to precede the other.
+MAJORITY = 0.75
 # fixed values: legal forms that end a firm's name as a whole word; short forms of trades are told by their counts
 WHOLE_WORDS = "ltd pvt llp inc co corp".split()
 
@@ -113,7 +115,7 @@ def precedence(observed: DataFrame, wanted: DataFrame | None = None) -> DataFram
     """(field, before, after, seen): which value follows which, learned from timestamped rows of one group.
 
     Rows are put in order by day and then within the day, and consecutive values are counted; a pair counts in the
-    direction that is seen more often. A group of any size is spread over its days. Steps are followed to their end: a
+    direction that MAJORITY of its steps take, as values that merely alternate say nothing of what is newer. A group of any size is spread over its days. Steps are followed to their end: a
     before b before c makes a before c, as often seen as its rarest step, by the chain where that is most. With
     ``wanted`` (field, value) only pairs of these values are given, and only they are followed.
     """
@@ -123,8 +125,8 @@ def precedence(observed: DataFrame, wanted: DataFrame | None = None) -> DataFram
     ends = dated.groupBy("group", "field", "day").agg(F.min_by("value", F.struct("ts", "row")).alias("first"), F.max_by("value", F.struct("ts", "row")).alias("last"))
     across = Window.partitionBy("group", "field").orderBy("day")
     joins = ends.withColumn("before", F.lag("last").over(across)).where("before is not null and before <> first").select("field", "before", F.col("first").alias("after"))
-    counted = steps.unionByName(joins).groupBy("field", F.least("before", "after").alias("low"), F.greatest("before", "after").alias("high")).agg(F.sum(F.when(F.col("before") < F.col("after"), 1).otherwise(-1)).alias("net"))
-    one = counted.where("net <> 0").select("field", F.when(F.col("net") > 0, F.col("low")).otherwise(F.col("high")).alias("before"), F.when(F.col("net") > 0, F.col("high")).otherwise(F.col("low")).alias("after"), F.abs("net").alias("seen"))
+    counted = steps.unionByName(joins).groupBy("field", F.least("before", "after").alias("low"), F.greatest("before", "after").alias("high")).agg(F.sum(F.when(F.col("before") < F.col("after"), 1).otherwise(-1)).alias("net"), F.count("*").alias("steps"))
+    one = counted.where(F.abs("net") >= (2 * MAJORITY - 1) * F.col("steps")).select("field", F.when(F.col("net") > 0, F.col("low")).otherwise(F.col("high")).alias("before"), F.when(F.col("net") > 0, F.col("high")).otherwise(F.col("low")).alias("after"), F.abs("net").alias("seen"))
     one = materialize(one, "steps")
     onward = one.select("field", F.col("before").alias("via"), "after", F.col("seen").alias("then"))
     out = one if wanted is None else materialize(one.join(wanted.select("field", F.col("value").alias("before")), ["field", "before"], "left_semi"), "order")
