@@ -263,16 +263,16 @@ def _spread(rows: DataFrame, start: DataFrame) -> tuple[DataFrame, DataFrame]:
             side = lambda d, x: d.select(F.col("id").alias(x), F.col("bits").alias(f"bits_{x}"), F.col("text").alias(f"text_{x}"))
             pairs = met.join(side(own, "a"), "a").join(side(every, "b"), "b").select("a", "b", "bits_a", "bits_b", "text_a", "text_b").mapInArrow(_similar(kind), "a long, b long")
             found = pairs if found is None else found.unionByName(pairs)
-        if found is None:
+        if found is None:  # no text joined in the last round
             return taken, links
         found = materialize(found.distinct(), "links")
         links, parts = links.unionByName(found), parts + 1
         if parts > PARTS:  # a long chain would make the plan grow with every round
             links, parts = materialize(links, "links"), 1
         frontier = materialize(rows.join(found.select(F.col("b").alias("id")).distinct(), "id", "left_semi").dropDuplicates(["id"]).select(*start.columns), "frontier")
-        if not frontier.take(1):
-            return taken, links
-        taken = materialize(taken.unionByName(frontier), "labelled")
+        taken = taken.unionByName(frontier)
+        if parts == 1:
+            taken = materialize(taken, "labelled")
 
 
 def spread_labels(texts: DataFrame, labelled: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -329,14 +329,16 @@ def labelled_texts(rows: DataFrame, trusted: list[str]) -> tuple[DataFrame, Data
     given = materialize(read(spark.createDataFrame([(t,) for t in plain], "text string")).dropDuplicates(["id"]), "trusted")
     holes = [tuple(x["text"] for x in read(spark.createDataFrame([(p,) for p in t.split("…")], "text string").coalesce(1)).collect()) for t in trusted if "…" in t]
     taken = fresh = given
-    links, pending, gaps = spark.createDataFrame([], "a long, b long"), None, holes
+    links, pending, gaps, rounds = spark.createDataFrame([], "a long, b long"), None, holes, 0
     while True:
         grown, more = _spread(rows, fresh)
         links = links.unionByName(more)
         taken = materialize(taken.unionByName(grown.join(taken.select("id"), "id", "left_anti")), "taken")
         composed, pending = _composed(rows, grown, gaps, pending, taken)
         gaps = None
-        links = materialize(links.unionByName(composed.select(F.col("by").alias("a"), F.col("id").alias("b"))), "links")
+        links, rounds = links.unionByName(composed.select(F.col("by").alias("a"), F.col("id").alias("b"))), rounds + 1
+        if rounds % PARTS == 0:
+            links = materialize(links, "links")
         fresh = materialize(rows.join(composed.select("id"), "id", "left_semi").join(taken.select("id"), "id", "left_anti").select(*given.columns).dropDuplicates(["id"]), "fresh")
         if not fresh.take(1):
             return taken, links
